@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup, suffix_dedup
+from . import simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,9 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": lambda spark, d: substring_dedup.repeated_passages(_table(spark, d, "documents")),
     "op3_suffix_array_dedup": lambda spark, d: suffix_dedup.repeated_passages(_table(spark, d, "documents")),
+    "op5_simhash_near_dedup": lambda spark, d: simhash_dedup.near_duplicates(_table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.SQL,
     "op3_suffix_array_dedup": suffix_dedup.SQL,
+    "op5_simhash_near_dedup": simhash_dedup.SQL,
 }
