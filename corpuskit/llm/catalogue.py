@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup
+from . import bpe, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array_dedup": lambda spark, d: suffix_dedup.repeated_passages(_table(spark, d, "documents")),
     "op5_simhash_near_dedup": lambda spark, d: simhash_dedup.near_duplicates(_table(spark, d, "documents")),
     "op6_pii": lambda spark, d: pii.find(_table(spark, d, "documents")),
+    "op8_byte_bpe": lambda spark, d: bpe.encode(_table(spark, d, "documents")),
     "op7_sharding": lambda spark, d: sharding.assign(_table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.sample(_table(spark, d, "documents")),
 }
