@@ -27,10 +27,12 @@ CELL = np.uint64(0x9FB21C651E98DF25)
 class Windows:
     """The windows of some rows: which word each starts at, its row and its anchor."""
 
-    def __init__(self, words: A.Words, window: int, gram: int):
+    def __init__(self, words: A.Words, window: int, gram: int, keep: np.ndarray | None = None):
         self.words, n = words, len(words.start)
         counts = np.diff(words.first)
         per_row = np.maximum(counts - window + 1, 0)
+        if keep is not None:
+            per_row[~keep] = 0
         self.row = np.repeat(np.arange(len(counts)), per_row)
         total = int(per_row.sum())
         skip = np.cumsum(per_row) - per_row
@@ -92,17 +94,19 @@ def set_bits(bits: np.ndarray, cell: np.ndarray) -> np.ndarray:
     return (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
 
 
-def candidates(docs: DataFrame, hot: DataFrame, width: int, rows: int, window: int, gram: int, emit, schema: str, limit: int) -> DataFrame:
+def candidates(docs: DataFrame, hot: DataFrame, width: int, rows: int, window: int, gram: int, emit, schema: str, limit: int, keep=None) -> DataFrame:
     """``emit(ids, windows, chosen)`` of every piece of text, where chosen marks the windows whose
     anchor has all its cells in ``hot``. The cells go to the executors as a bitmap if it takes
-    at most ``limit`` bytes; otherwise the anchors are joined with them and the texts with that."""
+    at most ``limit`` bytes; otherwise the anchors are joined with them and the texts with that.
+    ``keep(ids, words)`` may say which rows take part."""
+    kept = keep or (lambda ids, words: None)
     spark: SparkSession = docs.sparkSession
     if width * rows // 8 <= limit:
         shared = spark.sparkContext.broadcast(bitmap(hot, width * rows))
 
         def near(batches):
             for ids, words, _ in each_piece(batches):
-                w = Windows(words, window, gram)
+                w = Windows(words, window, gram, kept(ids, words))
                 ok = np.ones(len(w.pos), bool)
                 for c in cells(w.anchor, width, rows):
                     ok &= set_bits(shared.value, c)
@@ -115,7 +119,7 @@ def candidates(docs: DataFrame, hot: DataFrame, width: int, rows: int, window: i
 
     def anchors(batches):
         for ids, words, _ in each_piece(batches):
-            w = Windows(words, window, gram)
+            w = Windows(words, window, gram, kept(ids, words))
             if len(w.pos):
                 begin = np.flatnonzero(w.new)
                 end = np.append(begin[1:], len(w.pos)) - 1
@@ -129,7 +133,7 @@ def candidates(docs: DataFrame, hot: DataFrame, width: int, rows: int, window: i
 
     def far(batches):
         for ids, words, part in each_piece(batches):
-            w = Windows(words, window, gram)
+            w = Windows(words, window, gram, kept(ids, words))
             ok = np.zeros(len(w.pos) + 1, np.int64)
             begin = np.searchsorted(w.row, np.arange(len(ids) + 1))
             for i, (x, y) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
@@ -173,3 +177,30 @@ def spans(found: DataFrame, window: int) -> DataFrame:
 
     by_doc = found.select("doc_id", "pos", "later").repartition("doc_id").sortWithinPartitions("doc_id", "pos", F.desc("later"))
     return by_doc.mapInArrow(merged, "doc_id long, start_word long, end_word long, repeated_windows long, later_windows long")
+
+
+def union(found: DataFrame) -> DataFrame:
+    """Spans (doc_id, pos, end) merged where they overlap or touch: (doc_id, start_word, end_word)."""
+
+    def merged(batches):
+        held, names = None, ["doc_id", "start_word", "end_word"]
+        for batch in batches:
+            rows = [np.asarray(c).astype(np.int64) for c in batch.columns]
+            if not len(rows[0]):
+                continue
+            if held is not None:
+                rows = [np.concatenate(([h], x)) for h, x in zip(held, rows)]
+            doc, pos, end = rows
+            far = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1]))) << 40
+            reach = np.maximum.accumulate(far + end)
+            at = np.flatnonzero(np.concatenate(([True], far[1:] + pos[1:] > reach[:-1])))
+            last = np.append(at[1:], len(doc)) - 1
+            rows = [doc[at], pos[at], reach[last] - far[last]]
+            held = [r[-1] for r in rows]
+            if len(at) > 1:
+                yield pa.RecordBatch.from_arrays([A.longs(r[:-1]) for r in rows], names)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([int(h)], pa.int64()) for h in held], names)
+
+    by_doc = found.select("doc_id", "pos", "end").repartition("doc_id").sortWithinPartitions("doc_id", "pos")
+    return by_doc.mapInArrow(merged, "doc_id long, start_word long, end_word long")
