@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language_id, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup
+from . import bpe, hnsw, language_id, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": lambda spark, d: substring_dedup.repeated_passages(_table(spark, d, "documents")),
     "op2_language_id": lambda spark, d: language_id.identify(_table(spark, d, "documents")),
     "op3_suffix_array_dedup": lambda spark, d: suffix_dedup.repeated_passages(_table(spark, d, "documents")),
+    "op4_hnsw_neighbours": lambda spark, d: hnsw.neighbours(_table(spark, d, "embeddings")),
     "op5_simhash_near_dedup": lambda spark, d: simhash_dedup.near_duplicates(_table(spark, d, "documents")),
     "op6_pii": lambda spark, d: pii.find(_table(spark, d, "documents")),
     "op8_byte_bpe": lambda spark, d: bpe.encode(_table(spark, d, "documents")),
