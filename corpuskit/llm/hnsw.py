@@ -207,7 +207,7 @@ def build_index(vectors: DataFrame, shard_size: int = SHARD_SIZE, links: int = L
     """One row a shard, with the flat arrays of its graph, from (id, v)."""
     shards = max(1, -(-vectors.count() // shard_size))
 
-    def build(key, table: pa.Table) -> pa.Table:
+    def build(key, table):
         g = Graph.build(np.asarray(table.column("id")), _matrix(table.column("v"), table.num_rows), links)
         flat = g.flat()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([flat["ids"]], pa.binary()), "vectors": pa.array([flat["vectors"]], pa.binary()), "nodes": pa.array([flat["nodes"]], pa.list_(pa.binary())), "neighbours": pa.array([flat["neighbours"]], pa.list_(pa.binary()))})
