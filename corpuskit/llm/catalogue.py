@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hnsw, language_id, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup
+from . import bpe, hnsw, language_id, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup, webp, webp_write
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": lambda spark, d: pii.find(_table(spark, d, "documents")),
     "op8_byte_bpe": lambda spark, d: bpe.encode(_table(spark, d, "documents")),
     "op7_sharding": lambda spark, d: sharding.assign(_table(spark, d, "documents")),
+    "op9_webp_pixels": lambda spark, d: webp.decode(webp_write.vector_images(_table(spark, d, "embeddings")), "vec_id"),
     "op10_mixing": lambda spark, d: mixing.sample(_table(spark, d, "documents")),
 }
 
