@@ -132,10 +132,19 @@ def special_ratio(c: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(c, rf"[\p{{L}}\p{{N}}{BLANK}]", "")) / n)
 
 
+def bind(x: Column, f) -> Column:
+    """f of a value that is worked out once: an outer column inside a lambda is worked out for every element."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def char_ngrams(c: Column, n: int) -> Column:
-    """All runs of n characters, with repeats; none in shorter text."""
-    size = F.length(c)
-    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """All runs of n characters, with repeats; none in shorter text. Linear in the text: substring would
+    count its characters from the start each time."""
+    none = F.array().cast("array<string>")
+    grams = lambda chars: F.when(
+        F.size(chars) >= n, F.transform(F.sequence(F.lit(1), F.size(chars) - (n - 1)), lambda i: F.array_join(F.slice(chars, i, F.lit(n)), ""))
+    ).otherwise(none)
+    return bind(F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1)), grams)
 
 
 def dedup_text(c: Column) -> Column:
