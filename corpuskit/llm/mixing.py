@@ -22,6 +22,8 @@ from ..operators.lineage import cut
 SEED = "mix-1"
 #: Characters beyond which a longer text weighs no more.
 LONG = 4000
+#: Sources whose figures are sent to all executors; with more of them rows are joined by source.
+MOST_SOURCES = 100_000
 #: Buckets into which ranks are counted to find where a source's sample ends.
 BUCKETS = 65536
 
@@ -62,17 +64,23 @@ def _sizes(narrow: DataFrame, targets: dict[str, float] | None, fraction: float)
     return by.select("s", F.when(F.col("of_w") > 0, n_s).otherwise(F.lit(0)).alias("n_s"), F.greatest("of_w", F.lit(1)).alias("of_w"))
 
 
+def _with(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+    """Rows with their source's figures. One source may hold most rows, so they aren't gathered by it."""
+    few = by_source.count() <= MOST_SOURCES
+    return rows.join(F.broadcast(by_source) if few else by_source, "s")
+
+
 def _cuts(narrow: DataFrame, sizes: DataFrame) -> DataFrame:
     """(s, n_s, of_w, cut_q, cut_id): the last rank that is taken in each source; null if none is.
 
     Ranks are counted in buckets first, so that only one bucket of each source is sorted."""
-    rows = _drawn(narrow.join(sizes, "s"))
+    rows = _drawn(_with(narrow, sizes))
     counts = rows.groupBy("s", "bucket").agg(F.count("q").alias("k"), F.sum("certain").alias("c"), F.first("n_s").alias("n_s"))
     of = Window.partitionBy("s")
     counts = counts.withColumn("m", F.col("n_s") - F.sum("c").over(of)).withColumn("upto", F.sum("k").over(of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
-    edge = counts.where("bucket is not null and upto >= m and upto - k < m").select("s", "bucket", (F.col("m") - F.col("upto") + F.col("k")).alias("rest"))
+    edge = cut(counts.where("bucket is not null and upto >= m and upto - k < m").select("s", "bucket", (F.col("m") - F.col("upto") + F.col("k")).alias("rest")))
     at = F.row_number().over(Window.partitionBy("s").orderBy("q", "id"))
-    last = rows.join(edge, ["s", "bucket"]).withColumn("at", at).where("at = rest").select("s", F.col("q").alias("cut_q"), F.col("id").alias("cut_id"))
+    last = _with(rows, edge.withColumnRenamed("bucket", "edge")).where("bucket = edge").withColumn("at", at).where("at = rest").select("s", F.col("q").alias("cut_q"), F.col("id").alias("cut_id"))
     return sizes.join(last, "s", "left")
 
 
@@ -91,18 +99,18 @@ def sample(docs: DataFrame, targets: dict[str, float] | None = None, fraction: f
     ``targets``: the weight of each source (None: all alike; a source not named gets nothing).
     ``fraction``: rows of the sample for each row of the table. ``long``: see LONG."""
     narrow = cut(_narrow(docs, seed, long))
-    ends = _cuts(narrow, _sizes(narrow, targets, fraction))
-    rows = _copies(narrow.join(ends, "s")).where("copies > 0")
+    ends = cut(_cuts(narrow, cut(_sizes(narrow, targets, fraction))))
+    rows = _copies(_with(narrow, ends)).where("copies > 0")
     return rows.select("doc_id", F.when(F.col("s") != "", F.substring("s", 2, 1 << 30)).alias("source"), "copies")
 
 
 def mix(docs: DataFrame, targets: dict[str, float] | None = None, fraction: float = 1.0, seed: str = SEED, long: int = LONG) -> DataFrame:
     """The sample as documents, each as often as it was drawn, with the columns of ``docs``."""
     narrow = cut(_narrow(docs, seed, long))
-    ends = cut(_cuts(narrow, _sizes(narrow, targets, fraction)))
+    ends = cut(_cuts(narrow, cut(_sizes(narrow, targets, fraction))))
     # Only one row a source is joined: the texts themselves aren't moved.
     own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), _source().alias("s"), _weight(long).alias("w"), _u(seed).alias("u"))
-    rows = _copies(own.join(ends, "s")).where("copies > 0")
+    rows = _copies(_with(own, ends)).where("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
