@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as T
 
 
+def fingerprint_of(text: str, n: int, known: dict[str, bytes]) -> int:
+    grams = Counter(text[i : i + n] for i in range(len(text) - n + 1))
+    if not grams:
+        return 0
+    low = []
+    for g in grams:
+        v = known.get(g)
+        if v is None:
+            if len(known) > 1_000_000:
+                known.clear()
+            v = known[g] = hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()[8:]
+        low.append(v)
+    times = np.fromiter(grams.values(), np.float64, len(low))
+    bits = np.frombuffer(b"".join(low), np.uint8).reshape(-1, 8)
+    votes = np.zeros(64)
+    for at in range(0, len(low), 4096):
+        votes += times[at : at + 4096] @ np.unpackbits(bits[at : at + 4096], axis=1)
+    return int(np.packbits(votes * 2 > times.sum()).view(">i8")[0])
+
+
 def fingerprints(df: DataFrame, id_column: str, text: Column, n: int = 5) -> DataFrame:
     """(id, fp): 64 bits, each set if most n-grams (with repeats) have it set in the low half of their
-    MD5; 0 without n-grams. n-grams are counted before their bits are summed."""
-    grams = df.select(F.col(id_column).alias("id"), F.explode_outer(T.char_ngrams(T.dedup_text(text), n)).alias("g"))
-    counts = grams.groupBy("id", "g").agg(F.count("*").alias("n"))
-    # Two halves of 32 bits: conv gives unsigned numbers, which would overflow as one.
-    halves = counts.select("id", "n", F.conv(F.substring(F.md5("g"), 17, 8), 16, 10).cast("long").alias("hi"), F.conv(F.substring(F.md5("g"), 25, 8), 16, 10).cast("long").alias("lo"))
-    ones = [F.sum(F.when(F.getbit(h, F.lit(k)) == 1, F.col("n")).otherwise(-F.col("n"))).alias(f"{h}{k}") for h in ("hi", "lo") for k in range(32)]
-    sums = halves.groupBy("id").agg(*ones)
-    fp = F.lit(0).cast("long")
-    for h, base in (("hi", 32), ("lo", 0)):
-        for k in range(32):
-            fp = fp.bitwiseOR(F.when(F.col(f"{h}{k}") > 0, F.shiftleft(F.lit(1).cast("long"), base + k)).otherwise(F.lit(0).cast("long")))
-    return sums.select("id", fp.alias("fp"))
+    MD5; 0 without n-grams. One pass over the texts, without a row for each n-gram."""
+
+    def each(batches):
+        known: dict[str, bytes] = {}
+        for batch in batches:
+            fps = [None if t is None else fingerprint_of(t, n, known) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+
+    narrow = df.select(F.col(id_column).cast("long").alias("id"), T.dedup_text(text).alias("text"))
+    return narrow.mapInArrow(each, "id long, fp long").where("fp is not null")
 
 
 def near_pairs(prints: DataFrame, distance: int = 3) -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions import unicode as U
 from ..operators import cleaning, messages, quality
 from ..operators.dedup import assemble, exact, lcs, minhash, semantic, simhash, tfidf
 from ..operators.graph import connected_components
+from ..sources.tables import read_table
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +34,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return read_table(spark, d, name)
 
 
 def conversations(spark: SparkSession, d: str) -> DataFrame:
