@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import read_table
 from . import bpe, hnsw, language_id, mixing, pii, sharding, simhash_dedup, substring_dedup, suffix_dedup, webp, webp_write
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
