@@ -9,7 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from .text import strip_tags
 
@@ -66,3 +66,20 @@ def normalize_unicode(c: Column) -> Column:
 def clean_html(c: Column) -> Column:
     """Entities decoded, then tags stripped; texts without "&" don't leave the JVM's fast path."""
     return strip_tags(_unescape(c))
+
+
+def fix_all(texts: Column, unicode: bool = True, tags: bool = True) -> Column:
+    """An array of texts with Unicode normalised, and entities decoded and tags stripped, as asked for."""
+    tag = re.compile("<[^>]*>")
+
+    def one(t: str | None) -> str | None:
+        if t is None:
+            return None
+        t = fix(t) if unicode else t
+        return tag.sub("", html.unescape(t)) if tags else t
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda ts: None if ts is None else [one(t) for t in ts])
+
+    return run(texts)

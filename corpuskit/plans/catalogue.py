@@ -15,6 +15,7 @@ from ..functions import unicode as U
 from ..operators import cleaning, messages, quality
 from ..operators.dedup import assemble, exact, lcs, minhash, semantic, simhash, tfidf
 from ..operators.graph import connected_components
+from ..sources import shapes
 from ..sources.tables import read_table
 from . import oracle as O
 
@@ -392,3 +393,38 @@ def topic_dedup(spark, d):
     e = table(spark, d, "embeddings")
     edges = semantic.topic_edges(semantic.topics(e, "vec_id", "embedding", 20))
     return assemble.survivors(e, edges, "vec_id", F.size("embedding")).select("vec_id", "label")
+
+
+@query(O.GENERIC_SHAPES)
+def generic_shapes(spark, d):
+    """Turns of all conversations, packed into items of four shapes by turns and read back."""
+    t = table(spark, d, "conversations").where("text <> ''")
+    kind = F.col("conv_id") % 4
+    turn = F.when(kind == 0, F.to_json(F.struct(F.col("role"), F.col("text").alias("content")))).when(kind == 1, F.to_json(F.struct(F.col("role").alias("sender"), "text"))).when(kind == 2, F.to_json(F.struct(F.col("role").alias("speaker"), "text"))).otherwise(F.to_json(F.struct(F.lit("x").alias("foo"))))
+    packed = t.select("conv_id", kind.alias("kind"), "turn", turn.alias("j")).groupBy("conv_id", "kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "j"))), lambda x: x["j"]), ",").alias("all"))
+    name = F.when(F.col("kind") == 0, "conversation").when(F.col("kind") == 2, "dialog").otherwise("messages")
+    item = F.try_parse_json(F.concat(F.lit('{"'), name, F.lit('":['), F.col("all"), F.lit("]}")))
+    rows = packed.select("conv_id", shapes.conversation(item).alias("c")).where("c is not null")
+    return rows.select("conv_id", F.posexplode("c").alias("n", "m")).select("conv_id", F.col("n").cast("long").alias("n"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@query()
+def stream_dedup(spark, d):
+    """First event of each kind and user within an hour, from a stream of the table run to its end."""
+    from ..streaming import dedup
+
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").withColumn("text", F.concat_ws(" ", F.col("user_id").cast("string"), "event_type")).withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_end(dedup.first_by_text(stream, "text", "ts"))
+
+
+def run_to_end(stream: DataFrame) -> DataFrame:
+    """A stream's rows so far, as a table in the shared folder."""
+    import uuid
+
+    from ..operators.lineage import shared_dir
+
+    spark = stream.sparkSession
+    to = f"{shared_dir(spark)}/stream-{uuid.uuid4()}"
+    stream.writeStream.format("parquet").option("path", f"{to}/rows").option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{to}/rows")

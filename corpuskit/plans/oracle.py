@@ -217,3 +217,6 @@ v AS MATERIALIZED (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY d
 q AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.w * b.w) AS cosine FROM v a JOIN v b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING 1 - sum(a.w * b.w) <= 0.2)"""
 TFIDF_PAIRS = f"WITH {_TFIDF} SELECT a AS src, b AS dst, round(cosine, 6) AS cosine FROM q"
 DBSCAN_DEDUP = _survivors(f"{_TFIDF}, e AS MATERIALIZED (SELECT a, b FROM q)", "length(text)", "documents", "doc_id", "doc_id").replace(", v AS (SELECT id", ", vv AS (SELECT id").replace("FROM v WHERE id", "FROM vv WHERE id")
+
+GENERIC_SHAPES = f"""WITH {TURNS} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n, CASE WHEN conv_id % 4 = 0 THEN was ELSE role END AS role, text AS content
+FROM c WHERE text <> '' AND conv_id % 4 <> 3"""
