@@ -59,7 +59,8 @@ def replace_urls(c: Column, by: str = "[URL]") -> Column:
 
 
 def replace_emails(c: Column, by: str = "[EMAIL]") -> Column:
-    return F.regexp_replace(c, rf"{SOLID}+@{SOLID}+\.{SOLID}+", literal(by))
+    # A run of solid characters that has no match from its start has none at all.
+    return F.regexp_replace(c, rf"(?<!{SOLID}){SOLID}+@{SOLID}+\.{SOLID}+", literal(by))
 
 
 def replace_numbers(c: Column, by: str = "[NUMBER]") -> Column:
@@ -129,7 +130,7 @@ def replace_dates(c: Column, by: str = "[DATE]", compat: str = "intended") -> Co
 def special_ratio(c: Column) -> Column:
     """Share of characters that are neither letters or digits nor blanks."""
     n = F.length(c)
-    return F.when(n == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(c, rf"[\p{{L}}\p{{N}}{BLANK}]", "")) / n)
+    return F.when(n == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(c, rf"[\p{{L}}\p{{N}}{BLANK}]+", "")) / n)
 
 
 def bind(x: Column, f) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 
 import numpy as np
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as T
+from .grams import Digests
 
 M = (1 << 32) - 1
 
@@ -28,19 +28,12 @@ def _mod(x: np.ndarray) -> np.ndarray:
     return np.where(x >= low, x - low, x)
 
 
-def signature_of(text: str, n: int, a: np.ndarray, b: np.ndarray, known: dict[str, int]) -> np.ndarray | None:
-    grams = {text[i : i + n] for i in range(len(text) - n + 1)}
-    if not grams:
+def signature_of(text: str, a: np.ndarray, b: np.ndarray, digests: Digests) -> np.ndarray | None:
+    rows, _ = digests.of(text)
+    if not len(rows):
         return None
-    h = np.empty(len(grams), np.uint64)
-    for i, g in enumerate(grams):
-        v = known.get(g)
-        if v is None:
-            v = int.from_bytes(hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()) % M
-            if len(known) > 1_000_000:
-                known.clear()
-            known[g] = v
-        h[i] = v
+    # 2**32 is 1 modulo M: a digest modulo M is the sum of its four words.
+    h = _mod(rows.view(">u4").astype(np.uint64).sum(axis=1))
     out = np.full(len(a), M, np.uint64)
     for lo in range(0, len(h), 512):  # blocks that stay in cache
         out = np.minimum(out, _mod(a[:, None] * h[None, lo : lo + 512] + b[:, None]).min(axis=1))
@@ -52,9 +45,9 @@ def signatures(df: DataFrame, id_column: str, text: Column, n: int = 5, hashes:
     a, b = (np.array(x, np.uint64) for x in zip(*permutations(hashes, seed)))
 
     def each(batches):
-        known: dict[str, int] = {}
+        digests = Digests(n)
         for batch in batches:
-            rows = [None if t is None else signature_of(t, n, a, b, known) for t in batch.column(1).to_pylist()]
+            rows = [None if t is None else signature_of(t, a, b, digests) for t in batch.column(1).to_pylist()]
             short = [t if r is None else None for t, r in zip(batch.column(1).to_pylist(), rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.string()), pa.array([None if r is None else r.astype(np.int64) for r in rows], pa.list_(pa.int64()))], ["id", "short", "signature"])
 

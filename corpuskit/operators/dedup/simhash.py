@@ -2,35 +2,23 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as T
+from .grams import Digests
 
 
-def fingerprint_of(text: str, n: int, known: dict[str, bytes]) -> int:
-    grams = Counter(text[i : i + n] for i in range(len(text) - n + 1))
-    if not grams:
+def fingerprint_of(text: str, digests: Digests) -> int:
+    rows, times = digests.of(text)
+    if not len(rows):
         return 0
-    low = []
-    for g in grams:
-        v = known.get(g)
-        if v is None:
-            if len(known) > 1_000_000:
-                known.clear()
-            v = known[g] = hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()[8:]
-        low.append(v)
-    times = np.fromiter(grams.values(), np.float64, len(low))
-    bits = np.frombuffer(b"".join(low), np.uint8).reshape(-1, 8)
-    votes = np.zeros(64)
-    for at in range(0, len(low), 4096):
-        votes += times[at : at + 4096] @ np.unpackbits(bits[at : at + 4096], axis=1)
-    return int(np.packbits(votes * 2 > times.sum()).view(">i8")[0])
+    votes = np.zeros(64, np.float32)
+    for at in range(0, len(rows), 4096):
+        votes += times[at : at + 4096].astype(np.float32) @ np.unpackbits(rows[at : at + 4096, 8:], axis=1).astype(np.float32)
+    return int(np.packbits(votes.astype(np.float64) * 2 > times.sum()).view(">i8")[0])
 
 
 def fingerprints(df: DataFrame, id_column: str, text: Column, n: int = 5) -> DataFrame:
@@ -38,9 +26,9 @@ def fingerprints(df: DataFrame, id_column: str, text: Column, n: int = 5) -> Dat
     MD5; 0 without n-grams. One pass over the texts, without a row for each n-gram."""
 
     def each(batches):
-        known: dict[str, bytes] = {}
+        digests = Digests(n)
         for batch in batches:
-            fps = [None if t is None else fingerprint_of(t, n, known) for t in batch.column(1).to_pylist()]
+            fps = [None if t is None else fingerprint_of(t, digests) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
     narrow = df.select(F.col(id_column).cast("long").alias("id"), T.dedup_text(text).alias("text"))
