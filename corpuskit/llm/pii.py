@@ -26,7 +26,7 @@ from . import arrays as A
 
 KINDS = ("SECRET", "EMAIL", "IP", "IBAN", "CARD", "SSN", "PHONE")
 
-# --- transducers -----------------------------------------------------------------------
+# Transducers
 
 
 def _homoglyphs() -> dict[int, str]:
@@ -161,7 +161,7 @@ def normalise(text: str) -> Aligned:
     return out
 
 
-# --- identifiers -----------------------------------------------------------------------
+# Identifiers
 
 _ANY = re.compile(r"[0-9@]")
 _LOCAL = re.compile(r"[\w.%+\-]*[\w%+\-]$")
