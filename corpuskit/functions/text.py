@@ -16,14 +16,16 @@ WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 DAY = DIGIT + "{1,2}"
 
-USER_NAMES = ("user", "human", "client", "customer", "questioner")
-ASSISTANT_NAMES = ("assistant", "ai", "bot", "chatbot", "model", "system", "answerer")
+USER_NAMES = tuple("client customer human questioner user".split())
+ASSISTANT_NAMES = tuple("ai answerer assistant bot chatbot model system".split())
 
 STOPWORDS = frozenset(
-    """the be to of and a in that have I it for not on with he as you do at this but his by from they we say her she or an
-    will my one all would there their what so up out if about who get which go me when make can like time no just him know
-    take people into year your good some could them see other than then now look only come its over think also back after
-    use two how our work first well way even new want because any these give day most us http""".split()
+    """
+    I a an as at be by do go he if in it me my no of on or so to up us we all and any but can day for get her him his
+    how its new not now one our out say see she the two use way who you also back come even from give good have http
+    into just know like look make most only over some take than that them then they this time want well what when will
+    with work year your about after could first other their there these think which would people because
+    """.split()
 )
 
 

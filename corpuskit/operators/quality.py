@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-WEIGHTS = (0.8, -0.7, 0.5, 0.3, -0.4)
-FEATURES = ("f_lang", "f_ppl", "f_chars", "f_words", "f_special")
+WEIGHTS = {"f_lang": 0.8, "f_ppl": -0.7, "f_chars": 0.5, "f_words": 0.3, "f_special": -0.4}
+FEATURES = tuple(WEIGHTS)
 
 
 def features(text: Column, confidence: Column, perplexity: Column) -> dict[str, Column]:
@@ -26,7 +26,7 @@ def features(text: Column, confidence: Column, perplexity: Column) -> dict[str,
 
 def logistic(f: dict[str, Column], weights=WEIGHTS, bias: float = 0.0) -> Column:
     z = F.lit(bias)
-    for name, w in zip(FEATURES, weights):
+    for name, w in weights.items():
         z = z + f[name] * F.lit(w)
     return 1 / (1 + F.exp(-z))
 

@@ -46,7 +46,7 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
-# --- messages and cleaning -------------------------------------------------------------
+# Messages and cleaning
 
 FILTER_WORDS = ["tionnt", "schst", "eauou", ".com"]
 TO_USER, TO_ASSISTANT = ["eau", "ung"], ["onth", "lich"]
@@ -151,7 +151,7 @@ def representative_longest(spark, d):
     return first.groupBy("role", "n").agg(best.alias("conversation_id"), F.max("length").alias("length")).withColumn("n", F.col("n").cast("long"))
 
 
-# --- quality ---------------------------------------------------------------------------
+# Quality
 
 
 def _scored(spark, d) -> DataFrame:
@@ -218,7 +218,7 @@ def quality_models():
     return m
 
 
-# --- formatting ------------------------------------------------------------------------
+# Formatting
 
 
 def _text_query(name: str, f, sql: str) -> None:
@@ -276,7 +276,7 @@ def replace_dates(spark, d):
     return _dated(spark, d).select("o_orderkey", T.replace_dates(F.col("text")).alias("text"))
 
 
-# --- near duplicates -------------------------------------------------------------------
+# Near duplicates
 
 
 @query(O.CHAR_NGRAMS_COUNT)

@@ -79,7 +79,7 @@ _SCORED = f"""d AS (SELECT doc_id, text, lang, (doc_id % 100) / 100.0::DOUBLE AS
 e AS (SELECT *, CASE WHEN nw > 0 THEN length(text) / nw ELSE 0.0 END AS per FROM d),
 f AS (SELECT doc_id, text, lang, conf, ppl, conf AS f_lang, least(1.0, ppl / 1000) AS f_ppl, least(5.0, per) / 5 AS f_chars, least(15.0, per) / 15 AS f_words,
   CASE WHEN length(text) = 0 THEN 0.0 ELSE length(regexp_replace(text, '[\\p{{L}}\\p{{N}}{T.BLANK}]', '', 'g')) / length(text) END AS f_special FROM e),
-z AS (SELECT *, 1 / (1 + exp(-({" + ".join(f"{n} * {w}" for n, w in zip(FEATURES, WEIGHTS))}))) AS s, greatest(0.0, least(1.0, conf * (1 - least(1.0, ppl / 1000)))) AS fb FROM f)"""
+z AS (SELECT *, 1 / (1 + exp(-({" + ".join(f"{n} * {w}" for n, w in WEIGHTS.items())}))) AS s, greatest(0.0, least(1.0, conf * (1 - least(1.0, ppl / 1000)))) AS fb FROM f)"""
 QUALITY_FEATURES = f"WITH {_SCORED} SELECT doc_id, {', '.join(f'round({n}, 6) AS {n}' for n in FEATURES)} FROM z"
 QUALITY_SCORE = f"WITH {_SCORED} SELECT doc_id, round(s, 6) AS score FROM z"
 QUALITY_FALLBACK = f"WITH {_SCORED} SELECT doc_id, round(fb, 6) AS score FROM z"

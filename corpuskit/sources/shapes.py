@@ -73,17 +73,17 @@ def _pair(q: Column, a: Column) -> Column:
     return F.when(q.isNotNull() & a.isNotNull(), both)
 
 
-def _first(v: Column, names: tuple[str, ...], filled: bool) -> Column:
-    got = [string(v, n) for n in names]
+def _first(v: Column, names: str, filled: bool) -> Column:
+    got = [string(v, n) for n in names.split()]
     return F.coalesce(*[F.when(x != "", x) if filled else x for x in got])
 
 
 def from_question(v: Column) -> Column:
-    return _pair(_first(v, ("text", "question", "query", "input"), True), _first(v, ("response", "answer", "output", "completion"), True))
+    return _pair(_first(v, "text question query input", True), _first(v, "response answer output completion", True))
 
 
 def best_effort(v: Column) -> Column:
-    return _pair(_first(v, ("query", "question", "input", "prompt"), False), _first(v, ("response", "answer", "output", "completion", "assistant"), False))
+    return _pair(_first(v, "query question input prompt", False), _first(v, "response answer output completion assistant", False))
 
 
 def conversation(v: Column) -> Column:

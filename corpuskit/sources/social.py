@@ -19,7 +19,7 @@ THREAD = "thread_path string, participants array<struct<name:string>>, messages
 def repaired_json(raw: bytes) -> str | None:
     """The file as clean JSON with every string's encoding put right; null if it can't be read."""
     text = re.sub("[\x00-\x1f\x7f]", "", raw.decode("utf-8", "ignore"))
-    for attempt in (text, re.sub(r'\\(?!["\\/bfnrtu])', r"\\\\", re.sub("[\x80-\x9f]", "", text))):
+    for attempt in (text, re.sub(r'\\(?![/bfnrtu"\\])', r"\\\\", re.sub("[\x80-\x9f]", "", text))):
         try:
             return json.dumps(_walk(json.loads(attempt)), ensure_ascii=False)
         except ValueError:

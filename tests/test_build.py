@@ -24,7 +24,7 @@ def test_files(spark, tmp_path):
 
 def test_shapes(spark):
     items = [
-        {"conversation": [{"role": "User", "content": "a"}], "conversation_id": "c1", "metadata": {"k": 1}},
+        {"conversation_id": "c1", "metadata": {"k": 1}, "conversation": [dict(content="a", role="User")]},
         {"messages": [{"sender": "client", "text": "a"}, {"foo": 1}, {"role": "x", "content": "b", "do_train": False}]},
         {"dialog": ["a", {"speaker": "bot", "text": "b"}, "c"]},
         {"text": "q", "user": "u", "answer": "a"},
@@ -67,7 +67,7 @@ def test_config(tmp_path):
 
 
 def test_whole_build(spark, tmp_path):
-    say = lambda q, a: {"conversation": [{"role": "User", "content": q}, {"role": "Assistant", "content": a}]}
+    say = lambda q, a: {"conversation": [dict(content=q, role="User"), dict(content=a, role="Assistant")]}
     long = "where is the shop and when does it open on sunday mornings "
     items = [say(long, "here  &amp; <b>now</b> see https://x.y/z"), say(long, "here  &amp; <b>now</b> see https://x.y/z"), say(long + "please", "it opens at nine"), say("what do you sell", "tea and cups, all kinds of them")]
     (tmp_path / "in").mkdir()
