@@ -10,7 +10,7 @@ DEFAULTS: dict = {
     "platform": dict(input_path="data/input/", type="generic"),
     "data_processing": {"filter_words": [], "role_transfer": {"assistant_to_user": [], "user_to_assistant": []}, "compat": "intended"},
     "cleaning": {"exact_dedup_enabled": True, "max_length": 32768, "min_length": None, "stopwords_enabled": True, "url_filter_enabled": True, "language_filter_enabled": True, "paragraph_filter_enabled": True},
-    "filtering": {"logistic_regression_enabled": False, "quality_threshold": 0.5, "target_languages": ["en", "zh"]},
+    "filtering": {"logistic_regression_enabled": False, "quality_threshold": 0.5, "target_languages": "en zh".split()},
     "formatting": {
         "clean_html": True, "fix_unicode": True, "normalize_dates": False, "date_format": "MM/DD", "replace_dates": False, "date_replacement": "[DATE]", "replace_urls": False, "url_replacement": "[URL]",
         "replace_emails": False, "email_replacement": "[EMAIL]", "replace_numbers": False, "number_replacement": "[NUMBER]", "remove_punctuation": False, "normalize_whitespace": True, "lowercase": False,

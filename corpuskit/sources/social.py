@@ -43,7 +43,7 @@ def _repaired(s: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def _unescaped(s: pd.Series) -> pd.Series:
     def one(t: str) -> str:
-        t = re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), t)
+        t = re.sub(r"\\u([0-9A-Fa-f]{4})", lambda m: chr(int(m[1], 16)), t)
         return re.sub(r"&#([0-9]+);", lambda m: chr(int(m[1])) if int(m[1]) < 0x110000 else m[0], t)
 
     return s.map(one, na_action="ignore")
