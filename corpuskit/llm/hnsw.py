@@ -1,22 +1,28 @@
 """Approximate nearest neighbours with one small-world graph per shard.
 
-Vectors are hashed into shards of about ``shard_size``. Each shard has a hierarchical navigable
-small-world graph: layers of ever fewer nodes, each node linked to diverse near nodes that came
-before it and to those after it that chose it. A shard is stored as flat arrays: ids, vectors, and
-for each layer its nodes and their neighbours, a fixed number a node, padded with -1. Every vector
-is looked for in every shard, many queries in step, and the shards' results are merged.
-
-As a shard is bounded, the candidates of a new node are found by comparing it with all earlier nodes
-of its shard, which is quicker here than walking the unfinished graph.
+Vectors are hashed into shards. Each shard has a hierarchical navigable small-world graph: layers of
+ever fewer nodes, each node linked to diverse near nodes that came before it and to those after it
+that chose it. Nodes are inserted in blocks: a block descends through the layers as it would in a
+search, keeps the nearest nodes that the walk meets in each of its layers, and adds the earlier nodes
+of its own block, which the walk can't meet. A shard is stored as flat arrays: ids, vectors, and for each
+layer its nodes and their neighbours, a fixed number a node, padded with -1.
+
+Queries go to the shards, not shards to the queries: a task loads one graph and streams all queries
+past it. The k best of every shard are merged. Unless ``shards`` is given there are sqrt(n) / 32 of
+them, and so many more that none holds over 2**18 vectors: inserting costs n log n, searching a query
+sqrt(n) / 32 short walks.
 
 Similarity is the cosine. Rows are left out if their id or vector is null, if the vector has a null,
 an infinite or no number, is zero, or isn't of the most usual length (the shorter on a tie). Rows that
 share an id count as one, with the least vector. A vector isn't its own neighbour; equal vectors of other ids
-are. Equal scores are ordered by id. With fewer than k others all are returned. Other columns are ignored.
+are. Equal scores are ordered by id. With fewer than k others all are returned. Other columns are ignored. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,12 +30,15 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import cut
 
-SHARD_SIZE = 8192
+#: Vectors that a shard holds at most; with 64 dimensions its arrays take about 100 MB.
+MOST_IN_SHARD = 1 << 18
 LINKS = 16
 CANDIDATES = 64
-BEAM = 48
+BEAM = 64
 K = 10
-BLOCK = 2048
+#: Of the searching query: every hundredth vector is looked for.
+EVERY = 100
+BLOCK = 256
 
 
 def diverse(near: np.ndarray, scores: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
@@ -51,23 +60,88 @@ def diverse(near: np.ndarray, scores: np.ndarray, vectors: np.ndarray, most: int
     return np.pad(out, ((0, 0), (0, most - out.shape[1])), constant_values=-1)
 
 
-def build_layer(vectors: np.ndarray, links: int, room: int, candidates: int = CANDIDATES, block: int = 256) -> np.ndarray:
-    """Neighbours of each node, ``room`` a node."""
-    n = len(vectors)
-    graph = np.full((n, room), -1, np.int32)
-    for lo in range(0, n, block):
-        hi = min(n, lo + block)
-        scores = vectors[lo:hi] @ vectors[:hi].T
-        scores[np.arange(hi)[None, :] >= np.arange(lo, hi)[:, None]] = -np.inf  # only earlier nodes
-        c = min(candidates, hi)
-        near = np.argpartition(-scores, c - 1, axis=1)[:, :c] if c < hi else np.tile(np.arange(hi), (hi - lo, 1))
-        got = np.take_along_axis(scores, near, 1)
+class Layer:
+    """Nodes (numbers within the shard, ascending), their vectors, and the neighbours of each as places in the layer."""
+
+    def __init__(self, nodes: np.ndarray, vectors: np.ndarray, graph: np.ndarray):
+        self.nodes, self.vectors, self.graph = nodes, vectors, graph
+
+    def descend(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where walking to ever nearer neighbours ends, from place ``at`` of each query."""
+        at = at.copy()
+        score = np.einsum("qd,qd->q", self.vectors[at], queries)
+        live = np.arange(len(queries))
+        while len(live):
+            near = self.graph[at[live]]
+            s = np.where(near >= 0, np.einsum("qcd,qd->qc", self.vectors[np.maximum(near, 0)], queries[live]), -np.inf)
+            best = s.argmax(axis=1)
+            top = s[np.arange(len(live)), best]
+            better = top > score[live]
+            live = live[better]
+            at[live], score[live] = near[better, best[better]], top[better]
+        return at
+
+    def beam(self, queries: np.ndarray, at: np.ndarray, beam: int, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: none) and scores of about the ``beam`` nearest of each query, best first."""
+        q, n = len(queries), len(self.nodes)
+        step = min(step, beam)
+        seen = np.zeros((q, n + 1), bool)
+        seen[:, n] = True
+        rows = np.arange(q)
+        ids = np.full((q, beam), n, np.int64)
+        score = np.full((q, beam), -np.inf, np.float32)
+        open_ = np.zeros((q, beam), bool)
+        ids[:, 0], open_[:, 0] = at, True
+        score[:, 0] = np.einsum("qd,qd->q", self.vectors[at], queries)
+        seen[rows, at] = True
+        live = rows
+        while True:
+            s = np.where(open_[live], score[live], -np.inf)
+            pick = np.argpartition(-s, step - 1, axis=1)[:, :step]
+            fine = np.take_along_axis(s, pick, 1) > -np.inf
+            more = fine.any(axis=1)
+            live, pick, fine = live[more], pick[more], fine[more]
+            if not len(live):
+                break
+            opened = open_[live]
+            np.put_along_axis(opened, pick, False, 1)
+            chosen = np.where(fine, ids[live[:, None], pick], -1)
+            near = np.where(chosen[:, :, None] >= 0, self.graph[np.maximum(chosen, 0)], -1).reshape(len(live), -1)
+            near = np.where(near < 0, n, near)
+            near[seen[live[:, None], near]] = n
+            near = np.sort(near, axis=1)
+            near = near[:, : max(1, int((near < n).sum(axis=1).max()))]
+            near[:, 1:][near[:, 1:] == near[:, :-1]] = n
+            seen[live[:, None], near] = True
+            new = (self.vectors[np.minimum(near, n - 1)] @ queries[live][:, :, None])[:, :, 0]
+            new = np.where(near < n, new, -np.inf)
+            all_ids = np.concatenate([ids[live], near], axis=1)
+            all_scores = np.concatenate([score[live], new], axis=1)
+            all_open = np.concatenate([opened, near < n], axis=1)
+            best = np.argpartition(-all_scores, beam - 1, axis=1)[:, :beam]
+            ids[live] = np.take_along_axis(all_ids, best, 1)
+            score[live] = np.take_along_axis(all_scores, best, 1)
+            open_[live] = np.take_along_axis(all_open, best, 1)
+        order = np.lexsort((ids, -score), axis=1)
+        ids, score = np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
+        return np.where(np.isfinite(score), ids, -1), score
+
+    def link(self, lo: int, hi: int, found: np.ndarray, scores: np.ndarray, links: int) -> None:
+        """Link the places from lo to hi to diverse ones of what the walk found (-1: none) and of the places
+        between lo and themselves, and these back, pruned where there is no more room."""
+        own, room = self.vectors[lo:hi], self.graph.shape[1]
+        among = own @ own.T
+        among[np.arange(hi - lo)[None, :] >= np.arange(hi - lo)[:, None]] = -np.inf  # only earlier ones
+        near = np.concatenate([found, np.broadcast_to(np.arange(lo, hi), among.shape)], axis=1)
+        got = np.concatenate([np.where(found >= 0, scores, -np.inf), among], axis=1).astype(np.float32)
+        c = min(CANDIDATES, near.shape[1])
+        best = np.argpartition(-got, c - 1, axis=1)[:, :c]
+        near, got = np.take_along_axis(near, best, 1), np.take_along_axis(got, best, 1)
         order = np.argsort(-got, axis=1, kind="stable")
         near, got = np.take_along_axis(near, order, 1), np.take_along_axis(got, order, 1)
         near = np.where(np.isfinite(got), near, -1)
-        mine = diverse(near, got, vectors, links)
-        graph[lo:hi, :links] = mine
-        # Links back, pruned where there is no more room.
+        mine = np.concatenate([diverse(near[at : at + 64], got[at : at + 64], self.vectors, links) for at in range(0, len(near), 64)])
+        self.graph[lo:hi, :links] = mine
         to = mine.ravel()
         source = np.repeat(np.arange(lo, hi), links)[to >= 0]
         to = to[to >= 0]
@@ -75,113 +149,88 @@ def build_layer(vectors: np.ndarray, links: int, room: int, candidates: int = CA
         to, source = to[order], source[order]
         nodes, first, many = np.unique(to, return_index=True, return_counts=True)
         if not len(nodes):
-            continue
+            return
         wide = np.full((len(nodes), room + int(many.max())), -1, np.int64)
-        wide[:, :room] = graph[nodes]
+        wide[:, :room] = self.graph[nodes]
         wide[np.repeat(np.arange(len(nodes)), many), room + np.arange(len(to)) - np.repeat(first, many)] = source
-        for at in range(0, len(nodes), 512):
-            w, own = wide[at : at + 512], nodes[at : at + 512]
-            s = np.where(w >= 0, np.einsum("ncd,nd->nc", vectors[np.maximum(w, 0)], vectors[own]), -np.inf)
-            order = np.argsort(-s, axis=1, kind="stable")
-            w, s = np.take_along_axis(w, order, 1), np.take_along_axis(s, order, 1)
-            full = (w >= 0).sum(axis=1) > room
-            graph[own[~full]] = w[~full, :room]
+        for at in range(0, len(nodes), 256):
+            w, each = wide[at : at + 256], nodes[at : at + 256]
+            used = w >= 0
+            full = used.sum(axis=1) > room
+            room_left = np.argsort(~used[~full], axis=1, kind="stable")[:, :room]
+            self.graph[each[~full]] = np.take_along_axis(w[~full], room_left, 1)
             if full.any():
-                graph[own[full]] = diverse(w[full], s[full], vectors, room)
-    return graph
+                w, each = w[full], each[full]
+                s = np.where(w >= 0, np.einsum("ncd,nd->nc", self.vectors[np.maximum(w, 0)], self.vectors[each]), -np.inf)
+                order = np.argsort(-s, axis=1, kind="stable")
+                self.graph[each] = diverse(np.take_along_axis(w, order, 1), np.take_along_axis(s, order, 1), self.vectors, room)
 
 
 class Graph:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, layers: list[Layer]):
         self.ids, self.vectors, self.layers = ids, vectors, layers
 
     @classmethod
-    def build(cls, ids: np.ndarray, vectors: np.ndarray, links: int = LINKS, seed: int = 7) -> Graph:
+    def build(cls, ids: np.ndarray, vectors: np.ndarray, links: int = LINKS, candidates: int = CANDIDATES, seed: int = 7) -> Graph:
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
         level = np.floor(-np.log(1 - np.random.default_rng(seed).random(len(ids))) / np.log(links)).astype(int)
         layers = []
         for at in range(int(level.max(initial=0)) + 1):
             nodes = np.flatnonzero(level >= at).astype(np.int32)
-            layers.append((nodes, build_layer(vectors[nodes], links, links * (2 if at == 0 else 1))))
-        return cls(ids, vectors, layers)
+            layers.append(Layer(nodes, vectors[nodes] if at else vectors, np.full((len(nodes), links * (1 if at else 2)), -1, np.int32)))
+        out = cls(ids, vectors, layers)
+        for lo in range(0, len(ids), BLOCK):
+            out._insert(lo, min(len(ids), lo + BLOCK), level, links, candidates)
+        return out
+
+    def _insert(self, lo: int, hi: int, level: np.ndarray, links: int, candidates: int) -> None:
+        """Insert the nodes from lo to hi: from the top layer down, first those that aren't in a layer walk
+        through it, then those that are look for their neighbours there."""
+        queries, at = self.vectors[lo:hi], None
+        for depth in range(len(self.layers) - 1, -1, -1):
+            layer = self.layers[depth]
+            a, b = np.searchsorted(layer.nodes, (lo, hi))
+            inside = np.flatnonzero(level[lo:hi] >= depth)
+            found, scores = np.zeros((b - a, 0), np.int64), np.zeros((b - a, 0), np.float32)
+            if a:  # some node was there before
+                place = np.zeros(hi - lo, np.int64) if at is None else np.searchsorted(layer.nodes, at)
+                outside = np.flatnonzero(level[lo:hi] < depth)
+                if len(outside):
+                    place[outside] = layer.descend(queries[outside], place[outside])
+                if b > a:
+                    found, scores = layer.beam(queries[inside], place[inside], candidates)
+                    place[inside] = found[:, 0]
+                at = layer.nodes[place]
+            if b > a:
+                layer.link(a, b, found, scores, links)
 
     def flat(self) -> dict:
         return {
             "ids": self.ids.tobytes(),
             "vectors": self.vectors.tobytes(),
-            "nodes": [n.tobytes() for n, _ in self.layers],
-            "neighbours": [g.tobytes() for _, g in self.layers],
+            "nodes": [layer.nodes.tobytes() for layer in self.layers],
+            "neighbours": [layer.graph.tobytes() for layer in self.layers],
         }
 
     @classmethod
     def of(cls, ids: bytes, vectors: bytes, nodes: list[bytes], neighbours: list[bytes]) -> Graph:
         i = np.frombuffer(ids, np.int64)
-        layers = [(n := np.frombuffer(a, np.int32), np.frombuffer(b, np.int32).reshape(len(n), -1)) for a, b in zip(nodes, neighbours)]
-        return cls(i, np.frombuffer(vectors, np.float32).reshape(len(i), -1), layers)
+        v = np.frombuffer(vectors, np.float32).reshape(len(i), -1)
+        layers = []
+        for a, b in zip(nodes, neighbours):
+            n = np.frombuffer(a, np.int32)
+            layers.append(Layer(n, v[n] if layers else v, np.frombuffer(b, np.int32).reshape(len(n), -1)))
+        return cls(i, v, layers)
 
-    def search(self, queries: np.ndarray, k: int, beam: int = BEAM, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, k: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """Nodes (-1: none) and scores of about the k nearest of each query, best first."""
-        q, n = len(queries), len(self.ids)
-        beam = max(beam, k)
-        at = np.zeros(q, np.int64)  # node within the layer
+        at = np.zeros(len(queries), np.int64)
         for depth in range(len(self.layers) - 1, 0, -1):
-            nodes, graph = self.layers[depth]
-            vectors = self.vectors[nodes]
-            score = np.einsum("qd,qd->q", vectors[at], queries)
-            live = np.arange(q)
-            while len(live):
-                near = graph[at[live]]
-                s = np.where(near >= 0, np.einsum("qcd,qd->qc", vectors[np.maximum(near, 0)], queries[live]), -np.inf)
-                best = s.argmax(axis=1)
-                top = s[np.arange(len(live)), best]
-                better = top > score[live]
-                live = live[better]
-                at[live], score[live] = near[better, best[better]], top[better]
-            below = self.layers[depth - 1][0]
-            at = np.searchsorted(below, nodes[at])
-        graph = self.layers[0][1]
-        seen = np.zeros((q, n + 1), bool)
-        seen[:, n] = True
-        rows = np.arange(q)
-        ids = np.full((q, beam), n, np.int64)
-        score = np.full((q, beam), -np.inf, np.float32)
-        open_ = np.zeros((q, beam), bool)
-        ids[:, 0], open_[:, 0] = at, True
-        score[:, 0] = np.einsum("qd,qd->q", self.vectors[at], queries)
-        seen[rows, at] = True
-        live = rows
-        while len(live):
-            s = np.where(open_[live], score[live], -np.inf)
-            pick = np.argpartition(-s, step, axis=1)[:, :step]
-            fine = np.take_along_axis(s, pick, 1) > -np.inf
-            more = fine.any(axis=1)
-            live, pick, fine = live[more], pick[more], fine[more]
-            if not len(live):
-                break
-            opened = open_[live]
-            np.put_along_axis(opened, pick, False, 1)
-            chosen = np.where(fine, ids[live[:, None], pick], -1)
-            near = np.where(chosen[:, :, None] >= 0, graph[np.maximum(chosen, 0)], -1).reshape(len(live), -1)
-            near = np.where(near < 0, n, near)
-            near = np.sort(near, axis=1)
-            near[:, 1:][near[:, 1:] == near[:, :-1]] = n
-            near[seen[live[:, None], near]] = n
-            seen[live[:, None], near] = True
-            near = np.sort(near, axis=1)
-            near = near[:, : max(1, int((near < n).sum(axis=1).max()))]
-            new = (self.vectors[np.minimum(near, n - 1)] @ queries[live][:, :, None])[:, :, 0]
-            new = np.where(near < n, new, -np.inf)
-            all_ids = np.concatenate([ids[live], near], axis=1)
-            all_scores = np.concatenate([score[live], new], axis=1)
-            all_open = np.concatenate([opened, near < n], axis=1)
-            best = np.argpartition(-all_scores, beam - 1, axis=1)[:, :beam]
-            ids[live] = np.take_along_axis(all_ids, best, 1)
-            score[live] = np.take_along_axis(all_scores, best, 1)
-            open_[live] = np.take_along_axis(all_open, best, 1)
-        order = np.lexsort((ids, -score), axis=1)[:, :k]
-        ids, score = np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
-        return np.where(np.isfinite(score), ids, -1), score
+            layer = self.layers[depth]
+            at = np.searchsorted(self.layers[depth - 1].nodes, layer.nodes[layer.descend(queries, at)])
+        nodes, score = self.layers[0].beam(queries, at, max(beam, k))
+        return nodes[:, :k], score[:, :k]
 
 
 def usable(table: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -203,12 +252,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
 INDEX = "shard int, ids binary, vectors binary, nodes array<binary>, neighbours array<binary>"
 
 
-def build_index(vectors: DataFrame, shard_size: int = SHARD_SIZE, links: int = LINKS) -> DataFrame:
+def shard_count(n: int) -> int:
+    return max(1, math.ceil(math.sqrt(n) / 32), -(-n // MOST_IN_SHARD))
+
+
+def build_index(vectors: DataFrame, shards: int, links: int = LINKS, candidates: int = CANDIDATES) -> DataFrame:
     """One row a shard, with the flat arrays of its graph, from (id, v)."""
-    shards = max(1, -(-vectors.count() // shard_size))
 
     def build(key, table):
-        g = Graph.build(np.asarray(table.column("id")), _matrix(table.column("v"), table.num_rows), links)
+        g = Graph.build(np.asarray(table.column("id")), _matrix(table.column("v"), table.num_rows), links, candidates)
         flat = g.flat()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([flat["ids"]], pa.binary()), "vectors": pa.array([flat["vectors"]], pa.binary()), "nodes": pa.array([flat["nodes"]], pa.list_(pa.binary())), "neighbours": pa.array([flat["neighbours"]], pa.list_(pa.binary()))})
 
@@ -216,48 +268,43 @@ def build_index(vectors: DataFrame, shard_size: int = SHARD_SIZE, links: int = L
     return of.groupBy("shard").applyInArrow(build, INDEX)
 
 
-def search(index: DataFrame, blocks: DataFrame, k: int = K, beam: int = BEAM) -> DataFrame:
-    """(id, neighbour, score, rank) for query blocks (ids, vectors) over all shards of an index."""
+def search(index: DataFrame, shards: int, queries: DataFrame, k: int = K, beam: int = BEAM) -> DataFrame:
+    """(id, neighbour, score, rank) for queries (id, v) over all shards of an index."""
 
     def each(batches):
+        g = None
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = {c: batch.column(i)[row].as_py() for i, c in enumerate(batch.schema.names)}
-                g = Graph.of(one["ids"], one["vectors"], one["nodes"], one["neighbours"])
-                ids = np.frombuffer(one["q_ids"], np.int64)
-                queries = np.frombuffer(one["q_vectors"], np.float32).reshape(len(ids), -1)
-                for at in range(0, len(ids), 256):
-                    mine = ids[at : at + 256]
-                    node, score = g.search(queries[at : at + 256], k + 1, beam)
-                    other = np.where(node >= 0, g.ids[np.maximum(node, 0)], mine[:, None])
-                    ok = other != mine[:, None]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(mine, ok.sum(axis=1))), pa.array(other[ok]), pa.array(score[ok].astype(np.float64))], ["id", "neighbour", "score"])
-
-    pairs = index.crossJoin(blocks)
-    spread = pairs.repartition(F.col("shard"), F.col("block"))
-    found = spread.select("ids", "vectors", "nodes", "neighbours", "q_ids", "q_vectors").mapInArrow(each, "id long, neighbour long, score double")
+            graphs = np.flatnonzero(~np.asarray(batch.column(1).is_null()))
+            for at in graphs.tolist():  # the first row of the task
+                g = Graph.of(*(batch.column(c)[at].as_py() for c in range(1, 5)))
+            part = batch.filter(batch.column(0).is_valid())
+            if g is None or not part.num_rows:
+                continue
+            ids, v = np.asarray(part.column(0)), _matrix(part.column(5), part.num_rows)
+            for at in range(0, len(ids), BLOCK):
+                mine = ids[at : at + BLOCK]
+                node, score = g.search(v[at : at + BLOCK], k + 1, beam)
+                other = np.where(node >= 0, g.ids[np.maximum(node, 0)], mine[:, None])
+                ok = other != mine[:, None]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(mine, ok.sum(axis=1))), pa.array(other[ok]), pa.array(score[ok].astype(np.float64))], ["id", "neighbour", "score"])
+
+    graphs = index.select("shard", F.lit(None).cast("long").alias("id"), "ids", "vectors", "nodes", "neighbours", F.lit(None).cast("array<float>").alias("v"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("ids", "binary"), ("vectors", "binary"), ("nodes", "array<binary>"), ("neighbours", "array<binary>"))]
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", *none, "v")
+    # A partition for each shard: its graph comes first, then all queries.
+    dealt = graphs.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("id")
+    found = dealt.drop("shard").mapInArrow(each, "id long, neighbour long, score double")
     best = Window.partitionBy("id").orderBy(F.desc("score"), "neighbour")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("id", "neighbour", F.round("score", 6).alias("score"), "rank")
 
 
-def query_blocks(index: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The vectors of an index as blocks of queries."""
-
-    def each(batches):
-        for batch in batches:
-            for shard, ids, vectors in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(ids) // 8
-                wide = len(vectors) // n
-                for at in range(0, n, block):
-                    to = min(n, at + block)
-                    yield pa.RecordBatch.from_arrays([pa.array([f"{shard}-{at}"]), pa.array([ids[at * 8 : to * 8]], pa.binary()), pa.array([vectors[at * wide : to * wide]], pa.binary())], ["block", "q_ids", "q_vectors"])
-
-    return index.select("shard", "ids", "vectors").mapInArrow(each, "block string, q_ids binary, q_vectors binary")
-
-
-def neighbours(table: DataFrame, id_column: str = "vec_id", column: str = "embedding", k: int = K, shard_size: int = SHARD_SIZE, links: int = LINKS, beam: int = BEAM) -> DataFrame:
-    """The k nearest others of every vector: (vec_id, neighbour_id, score, rank).
+def neighbours(table: DataFrame, id_column: str = "vec_id", column: str = "embedding", k: int = K, shards: int | None = None, links: int = LINKS, candidates: int = CANDIDATES, beam: int = BEAM, every: int = EVERY) -> DataFrame:
+    """The k nearest others of every vector whose id is divisible by ``every``: (vec_id, neighbour_id, score, rank).
 
-    ``links``: links a node makes in each layer; ``beam``: nodes held in a search (more: better and slower)."""
-    index = cut(build_index(cut(usable(table, id_column, column)), shard_size, links))
-    return search(index, query_blocks(index), k, beam).select(F.col("id").alias("vec_id"), F.col("neighbour").alias("neighbour_id"), "score", "rank")
+    All vectors are indexed. ``links``: links a node makes in each layer; ``candidates``: nodes held while
+    a place for a new node is sought, ``beam``: in a search (more: better and slower)."""
+    vectors = cut(usable(table, id_column, column))
+    shards = shards or shard_count(vectors.count())
+    index = build_index(vectors, shards, links, candidates)
+    asked = vectors.where(F.pmod("id", F.lit(every)) == 0)
+    return search(index, shards, asked, k, beam).select(F.col("id").alias("vec_id"), F.col("neighbour").alias("neighbour_id"), "score", "rank")
