@@ -7,11 +7,17 @@ signed int column.
 A null image gives null width, height, pixels and error. One that can't be decoded, among them an empty
 one and a lossy one, gives null width, height and pixels, and what is wrong in ``error``; it never stops
 a job. Rows are decoded each for itself, so that repeated rows and ids don't matter. Only the
-id and the image are read; other columns are ignored.
+id and the image are read; other columns are ignored, also if they are called id, width, height, pixels or
+error. An empty table gives an empty result. An id column that has the name of an output is refused.
+
+Whatever the format allows is decoded, 2**28 pixels at most; ``most_pixels`` may set a lower bound where
+workers lack the memory: an image takes 4 bytes a pixel, up to three times at once.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +27,10 @@ PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 LENGTH_CODES, DISTANCE_CODES = 24, 40
 CODE_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 CACHE_FACTOR = 0x1E35A7BD
-#: Pixels that a decoder makes at most; a header may claim 2**28.
-MOST_PIXELS = 1 << 26
+#: Pixels of the largest image that a header can describe.
+MOST_PIXELS = 1 << 28
+#: Pixels handed on at once, and pixels whose colours are worked out at once.
+BATCH_PIXELS, BLOCK_PIXELS = 1 << 22, 1 << 20
 
 
 def _near() -> list[tuple[int, int]]:
@@ -58,9 +66,10 @@ class Code:
         if not used:
             raise Broken("a prefix code without symbols")
         if len(used) == 1:
-            self.width, self.table = 0, [used[0][1] << 4]
+            self.width, self.mask, self.table = 0, 0, [used[0][1] << 4]
             return
         self.width = width = max(n for n, _ in used)
+        self.mask = (1 << width) - 1
         table = [-1] * (1 << width)
         code = last = 0
         for n, s in sorted(used):
@@ -131,7 +140,7 @@ def _number(bits: Bits, symbol: int) -> int:
     return ((2 + (symbol & 1)) << extra) + bits.read(extra) + 1
 
 
-def read_image(bits: Bits, width: int, height: int, main: bool) -> list[int]:
+def read_image(bits: Bits, width: int, height: int, main: bool) -> array:
     """The pixels of an entropy-coded image."""
     cache_bits = 0
     if bits.read(1):
@@ -148,19 +157,36 @@ def read_image(bits: Bits, width: int, height: int, main: bool) -> list[int]:
     sizes = (256 + LENGTH_CODES + cache_size, 256, 256, 256, DISTANCE_CODES)
     codes = [[read_code(bits, s) for s in sizes] for _ in range(groups)]
     cache, shift = [0] * cache_size, 32 - cache_bits
-    out: list[int] = []
-    total = width * height
+    out, total = array("I"), width * height
     green, red, blue, alpha, distance = codes[0]
+    if group_of is None and not any(c.width for c in codes[0][:4]) and green.table[0] >> 4 < 256:
+        # All pixels are alike and take no bits.
+        return array("I", [alpha.read(bits) << 24 | red.read(bits) << 16 | green.read(bits) << 8 | blue.read(bits)]) * total
     cached = 0  # pixels already in the cache
+    data, end, word = bits.data, bits.end, int.from_bytes
     while (n := len(out)) < total:
         if group_of is not None:
             green, red, blue, alpha, distance = codes[group_of[(n // width >> tile_bits) * tiles + (n % width >> tile_bits)]]
-        s = green.read(bits)
+        # The four codes of a literal take up to 60 bits, which are read at once.
+        at = bits.at
+        ahead = word(data[at >> 3 : (at >> 3) + 9], "little") >> (at & 7)
+        got = green.table[ahead & green.mask]
+        used = got & 15
+        s = got >> 4
         if s < 256:
-            r = red.read(bits)
-            b = blue.read(bits)
-            out.append(alpha.read(bits) << 24 | r << 16 | s << 8 | b)
-        elif s < 256 + LENGTH_CODES:
+            r = red.table[ahead >> used & red.mask]
+            used += r & 15
+            b = blue.table[ahead >> used & blue.mask]
+            used += b & 15
+            a = alpha.table[ahead >> used & alpha.mask]
+            used += a & 15
+            bits.at = at + used
+            if bits.at > end:
+                raise Broken("the data ends too early")
+            out.append(a >> 4 << 24 | r >> 4 << 16 | s << 8 | b >> 4)
+            continue
+        bits.at = at + used
+        if s < 256 + LENGTH_CODES:
             length = _number(bits, s - 256)
             back = _number(bits, distance.read(bits))
             if back > 120:
@@ -229,46 +255,96 @@ def predicted(mode: int, left: int, top: int, right: int, corner: int) -> int:
     return 0xFF000000
 
 
-def undo_prediction(pixels: list[int], width: int, height: int, size_bits: int, modes: list[int]) -> list[int]:
-    tiles = (width + (1 << size_bits) - 1) >> size_bits
-    out = pixels
-    for i, p in enumerate(pixels):
-        y, x = divmod(i, width)
+#: Modes that look at the row above only.
+FROM_ABOVE = (0, 2, 3, 4, 8, 9, 14, 15)
+#: From so many pixels on a run of one mode is worked out in numpy.
+LONG_RUN = 48
+
+
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a & 0xFF00FF00) + (b & 0xFF00FF00) & 0xFF00FF00) | ((a & 0x00FF00FF) + (b & 0x00FF00FF) & 0x00FF00FF)
+
+
+def _means(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (((a ^ b) & 0xFEFEFEFE) >> 1) + (a & b)
+
+
+def _run(mode: int, pixels: np.ndarray, lo: int, hi: int, width: int) -> None:
+    """Undo a run of one mode that doesn't need the left neighbour, or only sums up to it (mode 1)."""
+    own = pixels[lo:hi].astype(np.uint64)
+    if mode == 1:
+        parts = [(own >> np.uint64(k)) & np.uint64(255) for k in (0, 8, 16, 24)]
+        before = int(pixels[lo - 1])
+        sums = [np.cumsum(p) + np.uint64(before >> k & 255) & np.uint64(255) for p, k in zip(parts, (0, 8, 16, 24))]
+        pixels[lo:hi] = sums[0] | sums[1] << np.uint64(8) | sums[2] << np.uint64(16) | sums[3] << np.uint64(24)
+        return
+    above = lambda d: pixels[lo - width + d : hi - width + d].astype(np.uint64)
+    guess = {2: lambda: above(0), 3: lambda: above(1), 4: lambda: above(-1), 8: lambda: _means(above(-1), above(0)), 9: lambda: _means(above(0), above(1))}.get(mode, lambda: np.uint64(0xFF000000))()
+    pixels[lo:hi] = _sums(own, guess)
+
+
+def undo_prediction(out: array, width: int, height: int, size_bits: int, modes: array) -> array:
+    tiles, side = (width + (1 << size_bits) - 1) >> size_bits, 1 << size_bits
+    pixels = np.frombuffer(out, np.uint32)  # the same memory
+    for y in range(height):
+        row = y * width
         if y == 0:
-            guess = out[i - 1] if x else 0xFF000000
-        elif x == 0:
-            guess = out[i - width]
+            out[0] = _add(out[0], 0xFF000000)
+            runs = [(1, 1, width)]
         else:
+            out[row] = _add(out[row], out[row - width])
+            own = [p >> 8 & 15 for p in modes[(y >> size_bits) * tiles : ((y >> size_bits) + 1) * tiles]]
+            runs, x = [], 1
+            while x < width:
+                mode, to = own[x >> size_bits], x
+                while to < width and own[to >> size_bits] == mode:
+                    to = min(width, (to | (side - 1)) + 1)
+                runs.append((mode, x, to))
+                x = to
+        for mode, a, b in runs:
             # Beyond the right edge stands the first pixel of the same row.
-            guess = predicted(modes[(y >> size_bits) * tiles + (x >> size_bits)] >> 8 & 15, out[i - 1], out[i - width], out[i - width + 1], out[i - width - 1])
-        out[i] = _add(p, guess)
+            if b - a >= LONG_RUN and (mode == 1 or mode in FROM_ABOVE):
+                _run(mode, pixels, row + a, row + b, width)
+                continue
+            for i in range(row + a, row + b):
+                guess = out[i - 1] if mode == 1 else predicted(mode, out[i - 1], out[i - width], out[i - width + 1], out[i - width - 1])
+                out[i] = _add(out[i], guess)
     return out
 
 
-def undo_cross_colour(pixels: np.ndarray, width: int, height: int, size_bits: int, factors: np.ndarray) -> np.ndarray:
+def undo_cross_colour(pixels: np.ndarray, width: int, height: int, size_bits: int, factors: np.ndarray) -> None:
     tiles = (width + (1 << size_bits) - 1) >> size_bits
-    at = np.arange(width * height)
-    f = factors[(at // width >> size_bits) * tiles + (at % width >> size_bits)]
     signed = lambda x: (x & 255).astype(np.uint8).view(np.int8).astype(np.int32)
-    g = signed(pixels >> 8)
-    red = (pixels >> 16) + (signed(f) * g >> 5) & 255
-    blue = pixels + (signed(f >> 8) * g >> 5) + (signed(f >> 16) * signed(red) >> 5) & 255
-    return pixels & 0xFF00FF00 | red << 16 | blue
+    for lo in range(0, len(pixels), BLOCK_PIXELS):
+        p = pixels[lo : lo + BLOCK_PIXELS].astype(np.int64)
+        at = np.arange(lo, lo + len(p))
+        f = factors[(at // width >> size_bits) * tiles + (at % width >> size_bits)]
+        g = signed(p >> 8)
+        red = (p >> 16) + (signed(f) * g >> 5) & 255
+        blue = p + (signed(f >> 8) * g >> 5) + (signed(f >> 16) * signed(red) >> 5) & 255
+        pixels[lo : lo + BLOCK_PIXELS] = p & 0xFF00FF00 | red << 16 | blue
 
 
-def undo_subtract_green(pixels: np.ndarray) -> np.ndarray:
-    g = pixels >> 8 & 255
-    return (pixels & 0xFF00FF00) | (((pixels >> 16) + g & 255) << 16) | (pixels + g & 255)
+def undo_subtract_green(pixels: np.ndarray) -> None:
+    for lo in range(0, len(pixels), BLOCK_PIXELS):
+        p = pixels[lo : lo + BLOCK_PIXELS]
+        g = p >> 8 & 255
+        p[:] = (p & 0xFF00FF00) | (((p >> 16) + g & 255) << 16) | (p + g & 255)
 
 
 def undo_palette(pixels: np.ndarray, width: int, height: int, palette: np.ndarray) -> np.ndarray:
     per = palette_bits(len(palette))
-    index = pixels.reshape(height, -1) >> 8 & 255
-    if per:
-        each = 8 >> per
-        index = (index[:, :, None] >> np.arange(0, 8, each) & ((1 << each) - 1)).reshape(height, -1)[:, :width]
-    index = index.ravel()
-    return np.where(index < len(palette), palette[np.minimum(index, len(palette) - 1)], 0)
+    each, packed = 8 >> per, len(pixels) // height
+    colours = np.zeros(256, np.uint32)  # those beyond the palette are transparent black
+    colours[: len(palette)] = palette
+    out = np.empty((height, width), np.uint32)
+    rows = max(1, BLOCK_PIXELS // width)
+    for y in range(0, height, rows):
+        index = (pixels[y * packed : (y + rows) * packed].reshape(-1, packed) >> 8 & 255).astype(np.uint8)
+        if per:
+            index = (index[:, :, None] >> np.arange(0, 8, each, dtype=np.uint8) & ((1 << each) - 1)).reshape(len(index), -1)[:, :width]
+        out[y : y + rows] = colours[index]
+    return out.ravel()
 
 
 def palette_bits(colours: int) -> int:
@@ -291,8 +367,8 @@ def chunk(data: bytes) -> bytes:
     raise Broken("no lossless image in the file")
 
 
-def decode_image(data: bytes) -> tuple[int, int, np.ndarray]:
-    """Width, height and pixels (int64, 0xAARRGGBB)."""
+def decode_image(data: bytes, most_pixels: int = MOST_PIXELS) -> tuple[int, int, np.ndarray]:
+    """Width, height and pixels (uint32, 0xAARRGGBB)."""
     bits = Bits(chunk(data))
     if bits.read(8) != 0x2F:
         raise Broken("no signature")
@@ -300,8 +376,8 @@ def decode_image(data: bytes) -> tuple[int, int, np.ndarray]:
     bits.read(1)
     if bits.read(3):
         raise Broken("an unknown version")
-    if full_width * height > MOST_PIXELS:
-        raise Broken("too many pixels")
+    if full_width * height > most_pixels:
+        raise Broken("more pixels than most_pixels")
     width, undo, had = full_width, [], set()
     while bits.read(1):
         kind = bits.read(2)
@@ -319,38 +395,56 @@ def decode_image(data: bytes) -> tuple[int, int, np.ndarray]:
             undo.append((kind, width, 0, steps))
             width = (width + (1 << palette_bits(len(steps))) - 1) >> palette_bits(len(steps))
         else:
-            undo.append((kind, width, 0, []))
-    pixels = np.array(read_image(bits, width, height, True), np.int64)
+            undo.append((kind, width, 0, array("I")))
+    raw = read_image(bits, width, height, True)
+    pixels, made = np.frombuffer(raw, np.uint32), False
     for kind, width, size, extra in reversed(undo):
         if kind == PREDICTOR:
-            pixels = np.array(undo_prediction(pixels.tolist(), width, height, size, extra), np.int64)
+            if made:  # by another transform, in memory of its own
+                raw = array("I", pixels.tobytes())
+            pixels = np.frombuffer(undo_prediction(raw, width, height, size, extra), np.uint32)
         elif kind == CROSS_COLOUR:
-            pixels = undo_cross_colour(pixels, width, height, size, np.array(extra, np.int64))
+            undo_cross_colour(pixels, width, height, size, np.frombuffer(extra, np.uint32))
         elif kind == PALETTE:
-            pixels = undo_palette(pixels, width, height, np.array(extra, np.int64))
+            pixels, made = undo_palette(pixels, width, height, np.frombuffer(extra, np.uint32)), True
         else:
-            pixels = undo_subtract_green(pixels)
+            undo_subtract_green(pixels)
     return full_width, height, pixels
 
 
-def decode(images: DataFrame, id_column: str, column: str = "image") -> DataFrame:
+def decode(images: DataFrame, id_column: str, column: str = "image", most_pixels: int = MOST_PIXELS) -> DataFrame:
     """(id_column, width, height, pixels, error) of every image."""
+    if id_column in ("width", "height", "pixels", "error"):
+        raise ValueError(f"the id column can't be called {id_column}")
 
-    def each(batches):
+    def rows_of(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = []
-                for data in part.column(1).to_pylist():
-                    try:
-                        rows.append((None, None, None, None) if data is None else (*decode_image(data), None))
-                    except (Broken, IndexError) as e:
-                        rows.append((None, None, None, str(e) or "broken"))
-                w, h, p, e = zip(*rows) if rows else ([], [], [], [])
-                sizes = np.concatenate(([0], np.cumsum([0 if x is None else len(x) for x in p]))).astype(np.int32)
-                flat = np.concatenate([x for x in p if x is not None] or [np.zeros(0, np.int64)]).astype(np.uint32).view(np.int32)
-                pixels = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat), mask=pa.array([x is None for x in p], pa.bool_()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(w, pa.int32()), pa.array(h, pa.int32()), pixels, pa.array(e, pa.string())], ["id", "width", "height", "pixels", "error"])
+            for i, data in zip(batch.column(0), batch.column(1)):
+                if not data.is_valid:
+                    yield i, None, None, None, None
+                    continue
+                try:
+                    yield (i, *decode_image(data.as_py(), most_pixels), None)
+                except (Broken, IndexError) as e:
+                    yield i, None, None, None, str(e) or "broken"
+
+    def made(rows):
+        ids, w, h, p, e = zip(*rows)
+        sizes = np.concatenate(([0], np.cumsum([0 if x is None else len(x) for x in p]))).astype(np.int32)
+        flat = np.concatenate([x for x in p if x is not None] or [np.zeros(0, np.uint32)]).view(np.int32)
+        pixels = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat), mask=pa.array([x is None for x in p], pa.bool_()))
+        return pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in ids], pa.int64()), pa.array(w, pa.int32()), pa.array(h, pa.int32()), pixels, pa.array(e, pa.string())], ["id", "width", "height", "pixels", "error"])
+
+    def each(batches):
+        held, size = [], 0
+        for row in rows_of(batches):
+            held.append(row)
+            size += 0 if row[3] is None else len(row[3])
+            if size >= BATCH_PIXELS or len(held) >= 1024:
+                yield made(held)
+                held, size = [], 0
+        if held:
+            yield made(held)
 
     narrow = images.select(F.col(id_column).cast("long").alias("id"), F.col(column).cast("binary").alias("image"))
     return narrow.mapInArrow(each, "id long, width int, height int, pixels array<int>, error string").withColumnRenamed("id", id_column)
