@@ -5,15 +5,21 @@ characters to nothing, runs of spelled digits to digits, and disguised "at" and
 signs. Each rewriting keeps its edits, so that the span of an identifier found in the result
 maps back to characters of the source. Only the source's own characters are masked.
 
-Null and empty texts have no findings and stay as they are. Rows with equal doc_id or equal
-content are each searched. Texts are searched whole. Other columns are passed through by ``mask``
-and ignored by ``find``.
+Numbers are taken for identifiers if they can be ones: cards by their check digit, or by a word for a card
+before them; IBANs by theirs; social security numbers by areas and groups that are given out; telephone
+numbers by "+", an area code in brackets, the form 3-3-4, a word for a telephone before them, or if they
+were spelled out; addresses by their syntax. A hexadecimal number is a secret only after a word for a secret.
+
+Null and empty texts have no findings and stay as they are. Rows with equal or null doc_id or equal
+content are each searched. Texts are searched whole. An empty table gives an empty result. Other columns are
+passed through by ``mask``, whatever they are called, and ignored by ``find``.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -89,8 +95,10 @@ _BRACKET = re.compile(r"[(\[{<]")
 _DOTS = re.compile(_DOT, re.I)
 _HOST = r"[A-Za-z0-9][A-Za-z0-9\-]*"
 #: name at host dot domain, written out; some dots or the at may be signs already.
-_WRITTEN = re.compile(rf"(?<=[\w+\-])(\s{{1,3}}{_AT}\s{{1,3}}|\s{{0,3}}@\s{{0,3}})({_HOST})((?:(?:\s{{1,3}}{_DOT}\s{{1,3}}|\s{{0,3}}\.(?=\w)){_HOST})+)(?!\w)", re.I)
-_DOT_SIGN = re.compile(rf"\s{{1,3}}{_DOT}\s{{1,3}}|\s{{0,3}}\.", re.I)
+#: Dots with blanks on both sides count only before the usual last names of hosts.
+_LAST = r"(?:com|org|net|edu|gov|info|io|co|de|fr|es|it|nl|eu|uk|us|ch|at)(?!\w)"
+_WRITTEN = re.compile(rf"(?<=[\w+\-])(\s{{1,3}}{_AT}\s{{1,3}}|\s{{0,3}}@\s{{0,3}})({_HOST})((?:(?:\s{{1,3}}{_DOT}\s{{1,3}}|\s{{0,3}}\.(?=\w)|\s{{1,2}}\.\s{{1,2}}(?={_LAST})){_HOST})+)(?!\w)", re.I)
+_DOT_SIGN = re.compile(rf"\s{{1,3}}{_DOT}\s{{1,3}}|\s{{0,3}}\.\s{{0,2}}", re.I)
 _NAME_DOTS = re.compile(rf"(?<=\w)\s{{1,3}}{_DOT}\s{{1,3}}(?=[\w+\-]+@)", re.I)
 
 
@@ -164,19 +172,25 @@ def normalise(text: str) -> Aligned:
 # Identifiers
 
 _ANY = re.compile(r"[0-9@]")
-_LOCAL = re.compile(r"[\w.%+\-]*[\w%+\-]$")
+_LOCAL = re.compile(r"[\w.%+\-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})(?:\.[A-Za-z0-9][A-Za-z0-9\-]{0,62})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
 _IPV4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9a-fA-F]{1,4}:|::)(?:(?:[0-9a-fA-F:]{0,30}:)?(?:\d{1,3}\.){3}\d{1,3}|[0-9a-fA-F:]{1,38})(?![\w:])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _CARD = re.compile(r"(?<![\w.+\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\w\-])")
-_SSN = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
-_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .\-]{0,2})?(?:\(\d{1,4}\)[ .\-]{0,2})?\d{1,5}(?:[ .\-]{1,2}\d{2,5}){1,5}(?![\w]|\.\d)|(?<![\w.])\+\d{7,15}(?!\w)")
-_DATE = re.compile(r"\d{4}[.\-]\d{1,2}[.\-]\d{1,2}|\d{1,2}[.\-]\d{1,2}[.\-]\d{4}")
+_CARD_WORD = re.compile(r"(?i)\b(?:card|cc|visa|mastercard|amex|karte|kreditkarte|carte|tarjeta)\b[^\w\n]{0,3}(?:(?:no|nr|num|number|is|ist|est|es|n°|nº)\b[^\w\n]{0,3}){0,2}$")
+_SSN = re.compile(r"(?<![\w\-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w\-])")
+_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .\-]{0,2})?(?:\(\d{1,4}\)[ .\-]{0,2})?\d{1,5}(?:[ .\-]{1,2}\d{2,8}){1,5}(?![\w]|\.\d)|(?<![\w.])\+\d{7,15}(?!\w)|(?<![\w.+\-])\d{7,12}(?![\w\-]|\.\d)")
+_DATE = re.compile(r"\d{4}[.\-]\d{1,2}[.\-]\d{1,2}(?!\d)|\d{1,2}[.\-]\d{1,2}[.\-]\d{4}(?!\d)")
+_NORTH = re.compile(r"(?:1[ .\-])?[2-9]\d\d[ .\-][2-9]\d\d[ .\-]\d{4}")
+_PHONE_WORD = re.compile(r"(?i)\b(?:tele(?:phone|fon|fono|fax|phones)?|tel|téléphone|teléfono|phone|mobile?|mobil|móvil|handy|cell|fax|whatsapp|sms|call(?: me| us)?|dial|ring|anrufen|appelez|llame|llama)\b[^\w\n]{0,3}(?:(?:at|on|no|nr|number|is|ist|est|es|me|us|unter|n°|nº)\b[^\w\n]{0,3}){0,2}$")
 _SECRET = re.compile(
-    r"(?i:\b(?:token|api[_\- ]?key|secret|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"']{6,})"
-    r"|(?<!\w)((?=\d*[a-fA-F])[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk-[\w\-]{20,}|eyJ[\w\-]{8,}\.[\w\-]{8,}\.[\w\-]{8,})(?!\w)"
+    r"(?i:\b(?:(?:\w{1,20}[_\- ])?(?:token|api[_\- ]?key|secret|passw(?:or)?d|passphrase|pwd)|(?:access|private|auth|encryption|signing)[_\- ]?key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"']{6,})"
+    r"|(?<!\w)(AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk-[\w\-]{20,}|eyJ[\w\-]{8,}\.[\w\-]{8,}\.[\w\-]{8,})(?!\w)"
 )
-_KEYED = re.compile(r"(?i)token|api.?key|secret|passw|pwd")
+_KEYED = re.compile(r"(?i)token|api.?key|secret|passw|passphrase|pwd|(?:access|private|auth|encryption|signing).?key|AKIA|gh[pousr]_|sk-|eyJ")
+#: Characters before a number in which a word for what it is may stand.
+CONTEXT = 40
 
 
 def _iban_ok(s: str) -> bool:
@@ -184,37 +198,74 @@ def _iban_ok(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def luhn_ok(s: str) -> bool:
+    """Whether the last digit of a number checks the others."""
+    total = 0
+    for i, c in enumerate(reversed([int(c) for c in s if c.isdigit()])):
+        total += c if i % 2 == 0 else c * 2 - 9 * (c > 4)
+    return total % 10 == 0
+
+
+def _card_ok(text: str, m: re.Match) -> bool:
+    digits = "".join(filter(str.isdigit, m[0]))
+    if _CARD_WORD.search(text[max(0, m.start() - CONTEXT) : m.start()]):
+        return True
+    # Of thirteen digits only old numbers that begin with 4 are cards; times and book numbers have as many.
+    return digits[0] in ("4" if len(digits) == 13 else "23456") and luhn_ok(digits) and len(set(digits)) > 1
+
+
+def _phone_ok(text: str, m: re.Match, spelled: Callable[[int, int], bool]) -> bool:
+    n = sum(map(str.isdigit, m[0]))
+    if not 7 <= n <= 15 or _DATE.match(m[0]):
+        return False
+    if m[0][0] == "+" or _NORTH.fullmatch(m[0]) or (m[0][0] == "(" and n >= 9):
+        return True
+    return _PHONE_WORD.search(text[max(0, m.start() - CONTEXT) : m.start()]) is not None or spelled(m.start(), m.end())
+
+
+def _ipv6_ok(s: str) -> bool:
+    try:
+        return any(map(str.isdigit, s)) and ipaddress.IPv6Address(s) is not None
+    except ValueError:
+        return False
+
+
 def detect(text: str, spelled: Callable[[int, int], bool] = lambda a, b: False) -> list[tuple[str, int, int]]:
     """(kind, start, end) of identifiers in a normalised text; where kinds overlap the first of KINDS stays."""
     found: list[tuple[str, int, int]] = []
     some = _ANY.search(text) is not None
-    if some or _KEYED.search(text):
+    if _KEYED.search(text):
         for m in _SECRET.finditer(text):
             g = 1 if m[1] else 2
             found.append(("SECRET", m.start(g), m.end(g)))
     if some:
         at = text.find("@")
         while at >= 0:
-            name, host = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1)
-            if name and host:
-                found.append(("EMAIL", name.start(), host.end()))
+            host, name = _DOMAIN.match(text, at + 1), at
+            if host and at and text[at - 1] != ".":
+                while name and _LOCAL.match(text, name - 1):
+                    name -= 1
+                if name < at:
+                    found.append(("EMAIL", name, host.end()))
             at = text.find("@", at + 1)
         found += [("IP", m.start(), m.end()) for m in _IPV4.finditer(text)]
+        if ":" in text:
+            found += [("IP", m.start(), m.end()) for m in _IPV6.finditer(text) if _ipv6_ok(m[0])]
         found += [("IBAN", m.start(), m.end()) for m in _IBAN.finditer(text) if _iban_ok(m[0])]
-        found += [("CARD", m.start(), m.end()) for m in _CARD.finditer(text)]
+        found += [("CARD", m.start(), m.end()) for m in _CARD.finditer(text) if _card_ok(text, m)]
         found += [("SSN", m.start(), m.end()) for m in _SSN.finditer(text)]
-        for m in _PHONE.finditer(text):
-            if 7 <= sum(map(str.isdigit, m[0])) <= 15 and not _DATE.fullmatch(m[0]):
-                found.append(("PHONE", m.start(), m.end()))
-        found += [("PHONE", m.start(), m.end()) for m in re.finditer(r"(?<![\w.])\d{7,12}(?!\w)", text) if spelled(m.start(), m.end())]
+        found += [("PHONE", m.start(), m.end()) for m in _PHONE.finditer(text) if _phone_ok(text, m, spelled)]
     if len(found) < 2:
         return found
     found.sort(key=lambda f: (KINDS.index(f[0]), f[1], -f[2]))
     kept: list[tuple[str, int, int]] = []
+    starts: list[int] = []
     for f in found:
-        if all(f[2] <= k[1] or f[1] >= k[2] for k in kept):
-            kept.append(f)
-    return sorted(kept, key=lambda f: f[1])
+        i = bisect_left(starts, f[2])  # the one before is the last that begins before the end
+        if not i or kept[i - 1][2] <= f[1]:
+            kept.insert(i, f)
+            starts.insert(i, f[1])
+    return kept
 
 
 def findings(text: str | None) -> list[tuple[str, int, int, bool]]:
@@ -261,7 +312,9 @@ _DOT_HASHES = _table("dot punkt point punto".split())
 _AT_HASHES = _table("at ät arobase arroba klammeraffe".split())
 _BRACKETS = np.zeros(256, bool)
 _BRACKETS[[ord(c) for c in "([{<"]] = True
-_KEY_HASHES = _table("token tokens api apikey api_key secret password passwd pwd".split())
+_KEY_HASHES = _table("token tokens api apikey secret password passwd passphrase pwd key accesskey privatekey authkey encryptionkey signingkey ghp gho ghu ghs ghr sk".split())
+#: How words begin that are secrets themselves.
+_KEY_STARTS = (b"akia", b"eyj")
 _SIGNS = np.zeros(256, bool)
 _SIGNS[[*range(48, 58), 64]] = True
 #: First bytes of characters other than ASCII and the letters U+00C0 to U+00FF.
@@ -274,10 +327,18 @@ def suspects(texts: pa.LargeStringArray) -> np.ndarray:
     that may be a lookalike, no three digit words in a row, no word for a dot, none for a secret and no bracketed one for an at."""
     buf, offs = A.flat(pc.utf8_lower(texts))
     out = np.zeros(len(texts), bool)
-    out[np.searchsorted(offs, np.flatnonzero(_SIGNS[buf]), side="right") - 1] = True
+    sign = _SIGNS[buf]
+    # U+00D7 and U+00F7 are no letters, though their bytes are taken for ones of words.
+    sign[:-1] |= (buf[:-1] == 195) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+    out[np.searchsorted(offs, np.flatnonzero(sign), side="right") - 1] = True
     w = A.Words(buf, offs, A.ALNUM)
     if len(w.start):
         hit = _known(w.hash, _DOT_HASHES) | _known(w.hash, _KEY_HASHES)
+        for begin in _KEY_STARTS:
+            of = w.end - w.start >= len(begin)
+            for i, c in enumerate(begin):
+                of[of] = buf[w.start[of] + i] == c
+            hit |= of
         at = np.flatnonzero(_known(w.hash, _AT_HASHES))
         for back in (1, 2, 3):
             hit[at] |= _BRACKETS[buf[np.maximum(w.start[at] - back, 0)]]
