@@ -41,10 +41,10 @@ def brute(docs, n):
 
     sources = {}
     for i, s, t in docs:
-        sources.setdefault(s, []).append((i, min(len(t), mixing.LONG)))
-    share, out = n / len(sources), {}
-    for s, rows in sources.items():
-        size, whole, ranks = int(share + 0.5), sum(w for _, w in rows), []
+        sources.setdefault(s, []).append((i, len(t)))
+    out = {}
+    for at, (s, rows) in enumerate(sorted(sources.items())):
+        size, whole, ranks = n // len(sources) + (at < n % len(sources)), sum(w for _, w in rows), []
         left = size
         for i, w in rows:
             e = size * w / whole
@@ -71,6 +71,29 @@ def test_brute_force_and_size(spark):
     assert Counter(r.source for r in weighted.collect()) == {"s0": 750, "s1": 250}
 
 
+def test_size_is_fixed(spark):
+    """Also where parts don't come out even, ids are shared, or a source has no text."""
+    size = lambda df: sum(r.copies for r in df.collect())
+    three = spark.createDataFrame([(i, f"s{i % 3}", "y" * (1 + i)) for i in range(100)], "doc_id long, source string, text string")
+    assert size(mixing.sample(three)) == mixing.mix(three).count() == 100
+    assert size(mixing.sample(three, {"s0": 1.0, "s1": 1.0, "s2": 5.0, "none": 9.0}, 0.33)) == 33
+    shared = spark.createDataFrame([(7, "a", "y" * 10)] * 100 + [(i, "b", "y" * 10) for i in range(100)], "doc_id long, source string, text string")
+    by = Counter()
+    for r in mixing.sample(shared, fraction=0.5).collect():
+        by[r.source] += r.copies
+    assert by == {"a": 50, "b": 50}
+    assert Counter(r.source for r in mixing.mix(shared.repartition(5), fraction=0.5).collect()) == {"a": 50, "b": 50}
+    blank = shared.unionByName(spark.createDataFrame([(i, "c", "") for i in range(50)], shared.schema))
+    assert Counter(r.source for r in mixing.mix(blank).collect()) == {"a": 125, "b": 125}
+    assert mixing.mix(blank.where("source = 'c'")).count() == 0 and mixing.mix(shared, {}).count() == 0
+
+
+def test_long_texts_weigh_in_full(spark):
+    docs = [(1, "a", "y" * 10_000)] + [(i, "a", "y" * 100) for i in range(2, 102)]
+    got = {r.doc_id: r.copies for r in mixing.sample(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()}
+    assert got[1] in (50, 51) and sum(got.values()) == 101
+
+
 def test_expected_copies(spark):
     docs = [(i, "a", "y" * (100 if i % 2 else 300)) for i in range(400)]
     table = spark.createDataFrame(docs, "doc_id long, source string, text string")
