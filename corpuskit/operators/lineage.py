@@ -26,3 +26,9 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark can write to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
