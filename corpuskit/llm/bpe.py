@@ -9,7 +9,11 @@ outcome is kept for the next time, for a bounded number of pre-tokens.
 The vocabulary is a file of "base64 rank" lines; it is read on the driver and its size is that of
 the vocabulary, not of the data. It must hold all 256 single bytes. A null text has null ids and
 decodes to null; an empty one has none and decodes to the empty text. Texts of any length are
-encoded whole. Rows are encoded each for itself, so repeated rows and ids don't matter.
+encoded whole. Rows are encoded each for itself, so repeated rows and ids don't matter; doc_id may be null. An
+empty table gives an empty result. Other columns are ignored, whatever they are called. In decoding a null id or
+one outside the vocabulary stands for U+FFFD, as do bytes that don't form UTF-8.
+
+The file is named by a parameter or by the setting ``spark.corpuskit.vocabulary``.
 """
 
 from __future__ import annotations
@@ -149,7 +153,7 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(names), np.uint8)
         ends = np.cumsum([len(t) for t in names])
         starts = ends - np.array([len(t) for t in names])
-        #: Place of each id's bytes in ``flat``; ids without a token have length 0.
+        #: Place of each id's bytes in ``flat``; that of ids without a token is behind the last.
         self.start, self.length = np.zeros(ids.max() + 1, np.int64), np.zeros(ids.max() + 1, np.int64)
         self.start[ids], self.length[ids] = starts, ends - starts
         keys = A.Prefix(self.flat.astype(A.U64) + A.U64(1), A.MULT_BYTES).ranges(starts, ends)
@@ -157,6 +161,10 @@ class Vocabulary:
         self.key_at, self.id_at = np.zeros(len(ids), A.U64), np.zeros(len(ids), np.int64)
         self.key_at[self.hash.slot_of], self.id_at[self.hash.slot_of] = keys, ids
         self.made: dict[bytes, np.ndarray] = {}
+        self.unknown, other = len(self.length), "\ufffd".encode()
+        self.start, self.length = np.append(self.start, len(self.flat)), np.append(self.length, len(other))
+        self.start[self.length == 0], self.length[self.length == 0] = len(self.flat), len(other)
+        self.flat = np.concatenate([self.flat, np.frombuffer(other, np.uint8)])
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -240,8 +248,7 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all rows and the first byte of each row."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length)):
-            raise ValueError("an id outside the vocabulary")
+        ids = np.where((ids < 0) | (ids >= self.unknown), self.unknown, ids)
         size = self.length[ids]
         ends = np.concatenate(([0], np.cumsum(size)))
         inner = np.arange(int(ends[-1])) - np.repeat(ends[:-1], size)
@@ -251,9 +258,15 @@ class Vocabulary:
         return self.__dict__ | {"made": {}}
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def shared_vocabulary(df: DataFrame, path: str | None):
+    """The vocabulary, sent to the executors; its size doesn't depend on the data."""
+    spark = df.sparkSession
+    return spark.sparkContext.broadcast(Vocabulary.read(path or spark.conf.get("spark.corpuskit.vocabulary", VOCABULARY)))
+
+
+def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, token_ids, round_trip): round_trip says that decoding the ids gave the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
+    shared = shared_vocabulary(docs, vocabulary)
 
     def each(batches):
         v = shared.value
@@ -276,9 +289,9 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return narrow.mapInArrow(each, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
-def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, text) from (doc_id, token_ids). Ids that don't form UTF-8 give U+FFFD there."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
+def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(doc_id, text) from (doc_id, token_ids)."""
+    shared = shared_vocabulary(encoded, vocabulary)
 
     def each(batches):
         v = shared.value

@@ -4,19 +4,22 @@ A text is cut into windows of ``WINDOW`` bytes, the last one padded. Bytes are e
 of several widths run over each window; the largest answer of each filter goes to a softmax. The
 answers of a text's windows are averaged by their bytes. All of it is numpy, in training and use.
 
-The network is trained on a sample of labelled rows of at most ``train_rows``, chosen by a hash of
-doc_id, and on made-up windows of class "und" (digits, signs, random letters, other scripts). A text
+The network is trained on a sample of at most ``train_rows`` labelled rows, as many of each label, chosen by a
+hash of doc_id, so that rare labels are learned too (of over ``train_rows`` labels the most frequent), and on made-up windows of class "und" (digits, signs, random letters, other scripts). A text
 is rejected if its likeliest class is "und", if its probability is below ``least``, or if the text
 is null or has no letter. A null or unknown label isn't trained on; a table without labels rejects
-all. The sample doesn't depend on the order of rows; equal rows may both be in it. Texts of any length
-are read whole. Other columns pass through ``keep_identified`` and are ignored by ``identify``.
+all. The sample doesn't depend on the order of rows; equal rows may both be in it, and of rows with equal hashes
+those of lesser texts come first. Of equal probabilities the first class by name counts. Texts of any length
+are read whole. An empty table gives an empty result. Other columns pass through ``keep_identified`` and are ignored by ``identify``.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrays as A
@@ -125,10 +128,23 @@ def unknown_windows(n: int, seed: int = 2) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, most: int) -> list:
-    """At most about ``most`` labelled rows, those of least hash."""
+    """At most ``most`` labelled rows, of each label those of least hash."""
     labelled = docs.where("lang is not null and text is not null and doc_id is not null").select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    last = [r.h for r in labelled.select("h").orderBy("h").limit(most).collect()]
-    return labelled.where(F.col("h") <= last[-1]).orderBy("h", "text").collect()[:most] if last else []
+    labels = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()]
+    if not labels:
+        return []
+    each = most // len(labels)
+    # Ranks are limited within each partition before rows are moved.
+    at = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    ranked = labelled.select("lang", "h").where(F.col("lang").isin(labels)).withColumn("at", at).where(F.col("at") <= each)
+    last = {r.lang: r.h for r in ranked.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    upto = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")]
+    out, seen = [], Counter()
+    for r in labelled.where(F.col("h") <= upto).orderBy("lang", "h", "text").limit(2 * most).collect():
+        seen[r.lang] += 1
+        if seen[r.lang] <= each:
+            out.append(r)
+    return sorted(out, key=lambda r: (r.h, r.text))
 
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, steps: int = STEPS) -> Network | None:

@@ -13,7 +13,7 @@ def test_stages(spark, tmp_path):
         assert docs.columns == columns
         counts.append(docs.count())
     assert counts[1] > 0.97 * counts[0] and counts[2] < counts[1] and counts[3] == counts[2]
-    assert abs(counts[4] - counts[3]) <= 20  # each source's part is rounded
+    assert counts[4] == counts[3]
     out = corpus_pipeline.STAGES[-1][1](spark, docs, None)
     assert out.where("not round_trip").count() == 0 and out.count() == counts[4]
     text = {(r.doc_id, r.text) for r in docs.collect()}
@@ -22,6 +22,30 @@ def test_stages(spark, tmp_path):
 
 def test_stages_on_messy_and_empty(spark, messy, nothing, tmp_path):
     for k, docs in enumerate((messy, nothing)):
+        first, kept = docs, []
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, docs, None).write.parquet(str(tmp_path / f"{name}{k}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == first.columns
+            kept.append(sorted((r.doc_id if r.doc_id is not None else -1) for r in docs.collect()))
+        if docs.count() == 0:
+            assert kept == [[]] * 5
+            continue
+        # Texts that are null or have no letter are in no language.
+        assert not {6, 7, 8} & set(kept[0])
+        # 1, 2 and 3 are near copies, as are 4 and 5; a row without an id stays.
+        assert set(kept[1]) <= set(kept[0]) - {2, 3, 5} and (1 in kept[1]) == (1 in kept[0]) and kept[1].count(-1) == kept[0].count(-1)
+        assert kept[2] == kept[1] and len(kept[3]) == len(kept[2]) == len(kept[4])
+        assert set(kept[3]) <= set(kept[2])
+
+
+def test_run_leaves_one_stage(spark):
+    import pathlib
+
+    from corpuskit.operators.lineage import shared_dir
+
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.columns == ["doc_id", "n_tokens", "token_ids", "round_trip"] and out.count() > 50
+    (folder,) = pathlib.Path(shared_dir(spark).removeprefix("file:")).glob("pipeline-*")
+    assert [p.name for p in folder.iterdir()] == [corpus_pipeline.STAGES[-2][0]]

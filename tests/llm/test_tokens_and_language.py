@@ -49,6 +49,21 @@ def test_round_trip_and_messy(spark, messy, nothing):
     assert bpe.encode(nothing).count() == bpe.decode(bpe.encode(nothing)).count() == 0
 
 
+def test_ids_outside_the_vocabulary(spark, vocabulary):
+    a, b = vocabulary.ranks[b"a"], vocabulary.ranks[b"b"]
+    rows = [(1, [a, 10**8, b]), (2, [-5]), (3, [a, None, b]), (4, []), (5, None), (None, [vocabulary.ranks[b"\xff"]])]
+    out = bpe.decode(spark.createDataFrame(rows, "doc_id long, token_ids array<int>"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a\ufffdb"), (2, "\ufffd"), (3, "a\ufffdb"), (4, ""), (5, None), (None, "\ufffd")], key=repr)
+
+
+def test_rare_language_is_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rare = docs.where("lang = 'de'").limit(4)
+    sample = language_id.training_rows(docs.where("lang <> 'de'").unionByName(rare), 300)
+    by = {k: sum(r.lang == k for r in sample) for k in {r.lang for r in sample}}
+    assert by["de"] == 4 and len(sample) <= 300 and max(by.values()) <= 300 // len(by)
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     seen = {(r.lang, r.text) for r in language_id.training_rows(docs, 300)}
