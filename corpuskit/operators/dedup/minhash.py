@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as T
+from ..lineage import cut
+from .assemble import tied
 from .grams import Digests
 
 M = (1 << 32) - 1
@@ -28,16 +30,28 @@ def _mod(x: np.ndarray) -> np.ndarray:
     return np.where(x >= low, x - low, x)
 
 
+def least(a: np.ndarray, b: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The least (a * h + b) mod 2**32 - 1 over h, for each (a, b).
+
+    The halves of a product are added with the carry put in at the end: that is the remainder, but that
+    2**32 - 1 stands for 0. With one more added, 0 and 1 both do."""
+    out = np.full(len(a), M, np.uint32)
+    for lo in range(0, len(h), 512):  # blocks that stay in cache
+        x = (a[:, None] * h[None, lo : lo + 512] + b[:, None]).view(np.uint32)
+        low = x[:, 0::2]
+        sums = low + x[:, 1::2]
+        sums += sums < low
+        sums += np.uint32(1)
+        np.minimum(out, sums.min(axis=1), out=out)
+    return np.maximum(out, 1) - 1
+
+
 def signature_of(text: str, a: np.ndarray, b: np.ndarray, digests: Digests) -> np.ndarray | None:
     rows, _ = digests.of(text)
     if not len(rows):
         return None
     # 2**32 is 1 modulo M: a digest modulo M is the sum of its four words.
-    h = _mod(rows.view(">u4").astype(np.uint64).sum(axis=1))
-    out = np.full(len(a), M, np.uint64)
-    for lo in range(0, len(h), 512):  # blocks that stay in cache
-        out = np.minimum(out, _mod(a[:, None] * h[None, lo : lo + 512] + b[:, None]).min(axis=1))
-    return out
+    return least(a, b, _mod(rows.view(">u4").astype(np.uint64).sum(axis=1)))
 
 
 def signatures(df: DataFrame, id_column: str, text: Column, n: int = 5, hashes: int = 128, seed: int = 42) -> DataFrame:
@@ -65,16 +79,21 @@ def similar_pairs(signed: DataFrame, threshold: float = 0.8, rows: int = 8, hash
     """(src, dst, similarity) of pairs that share a band and agree in ``threshold`` of their hashes.
 
     Rows of equal signatures are one node, tied to the first of them, so that many copies make no
-    quadratic number of pairs."""
-    nodes = signed.where("signature is not null").groupBy("signature").agg(F.min("id").alias("id"), F.collect_list("id").alias("all"))
-    copies = nodes.select(F.col("id").alias("src"), F.explode("all").alias("dst")).where("src <> dst").withColumn("similarity", F.lit(1.0))
-    short = signed.where("short <> ''").groupBy("short").agg(F.min("id").alias("src"), F.collect_list("id").alias("all"))
-    equal = short.select("src", F.explode("all").alias("dst")).where("src <> dst").withColumn("similarity", F.lit(1.0))
-    cut = bands(nodes.select("id", "signature"), rows, hashes).withColumn("key", F.xxhash64("band", "part")).select("id", "key")
-    a, b = cut.select(F.col("id").alias("src"), "key"), cut.select(F.col("id").alias("dst"), "key")
+    quadratic number of pairs; texts too short for a signature are tied to equal ones."""
+    signed = cut(signed.withColumn("short", F.when(F.col("short") != "", F.col("short"))))
+    nodes, copies = tied(signed, "signature")
+    _, equal = tied(signed, "short")
+    nodes = cut(nodes)
+    keyed = bands(nodes, rows, hashes).withColumn("key", F.xxhash64("band", "part")).select("id", "key")
+    a, b = keyed.select(F.col("id").alias("src"), "key"), keyed.select(F.col("id").alias("dst"), "key")
     candidates = a.join(b, "key").where("src < dst").select("src", "dst").distinct()
     sig = nodes.select("id", "signature")
     with_both = candidates.join(sig.select(F.col("id").alias("src"), F.col("signature").alias("s")), "src").join(sig.select(F.col("id").alias("dst"), F.col("signature").alias("t")), "dst")
     same = F.aggregate(F.zip_with("s", "t", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     near = with_both.select("src", "dst", (same / hashes).alias("similarity")).where(F.col("similarity") >= threshold)
-    return near.unionByName(copies).unionByName(equal)
+    return near.unionByName(copies.unionByName(equal).withColumn("similarity", F.lit(1.0)))
+
+
+def alike(x: np.ndarray | None, y: np.ndarray | None, threshold: float = 0.8) -> bool:
+    """Whether two signatures agree in ``threshold`` of their hashes; texts without one are like none."""
+    return x is not None and y is not None and float((x == y).mean()) >= threshold

@@ -1,13 +1,71 @@
-"""Pairs of embeddings by cosine, and clusters of topics."""
+"""Pairs of embeddings by cosine, and clusters of topics.
+
+A vector that is null or empty, holds a null or a number that isn't finite, or isn't of the most usual length
+(the shorter on a tie) has no pairs and no topic."""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ...functions import text as T
+from ..lineage import cut
+
 BLOCK = 1024
+#: Numbers in a vector that is made from a text.
+DIMENSIONS = 256
+
+
+def usable(df: DataFrame, id_column: str, vector: Column) -> DataFrame:
+    """(id, v) of the vectors that can be compared."""
+    rows = df.select(F.col(id_column).cast("long").alias("id"), vector.cast("array<double>").alias("v")).where("id is not null and size(v) > 0")
+    rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    usual = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").select("d").first()
+    return rows.where(F.size("v") == (usual.d if usual else 0))
+
+
+def text_vectors(df: DataFrame, id_column: str, text: Column, n: int = 3, dimensions: int = DIMENSIONS) -> DataFrame:
+    """(id, v): hashed counts of words and of n-grams within words, damped by a root and brought to length one.
+
+    Stands in for a sentence encoder, which can't be had offline. Texts without words have no vector."""
+    mult = np.uint64(0x9E3779B97F4A7C15)
+
+    def each(batches):
+        places: dict[str, np.ndarray] = {}
+
+        def of(word: str) -> np.ndarray:
+            got = places.get(word)
+            if got is None:
+                padded = f" {word} "
+                parts = [word, *(padded[i : i + n] for i in range(len(padded) - n + 1))]
+                h = np.array([int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8).digest(), "little") for p in parts], np.uint64)
+                if len(places) > 200_000:
+                    places.clear()
+                got = places[word] = ((h * mult) >> np.uint64(33)).astype(np.int64)
+            return got
+
+        for batch in batches:
+            ids, out = [], []
+            for i, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not words:
+                    continue
+                at = np.concatenate([of(w) for w in words])
+                signs = np.where(at & 1, 1.0, -1.0)
+                v = np.zeros(dimensions)
+                np.add.at(v, (at >> 1) % dimensions, signs)
+                v = np.sign(v) * np.sqrt(np.abs(v))
+                norm = np.linalg.norm(v)
+                if norm:
+                    ids.append(i)
+                    out.append(v / norm)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([v.tolist() for v in out], pa.list_(pa.float64()))], ["id", "v"])
+
+    rows = df.select(F.col(id_column).cast("long").alias("id"), T.words(text).alias("w")).where("id is not null and size(w) > 0")
+    return rows.mapInArrow(each, "id long, v array<double>")
 
 
 def _blocks(df: DataFrame, id_column: str, vector: Column, rows: int) -> DataFrame:
@@ -23,8 +81,7 @@ def _blocks(df: DataFrame, id_column: str, vector: Column, rows: int) -> DataFra
                 v = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
                 yield pa.RecordBatch.from_arrays([pa.array([int(ids.min())]), pa.array([ids.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary())], ["block", "ids", "vectors"])
 
-    narrow = df.select(F.col(id_column).cast("long").alias("id"), vector.cast("array<double>").alias("v")).where("id is not null and size(v) > 0")
-    return narrow.mapInArrow(pack, "block long, ids binary, vectors binary")
+    return usable(df, id_column, vector).mapInArrow(pack, "block long, ids binary, vectors binary")
 
 
 def similar_pairs(df: DataFrame, id_column: str, vector: Column, threshold: float = 0.8, rows: int = BLOCK) -> DataFrame:
@@ -53,10 +110,13 @@ def topics(df: DataFrame, id_column: str, vector: str, k: int, seed: int = 42, m
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    norm = F.sqrt(F.aggregate(F.col(vector).cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x))
-    rows = df.select(F.col(id_column).alias("id"), F.transform(F.col(vector).cast("array<double>"), lambda x: F.when(norm > 0, x / norm).otherwise(0.0)).alias("v"))
-    points = rows.select("id", array_to_vector("v").alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=20).fit(points)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    rows = usable(df, id_column, F.col(vector)).withColumn("norm", norm).select("id", F.transform("v", lambda x: F.when(F.col("norm") > 0, x / F.col("norm")).otherwise(0.0)).alias("v"))
+    points = cut(rows.select("id", array_to_vector("v").alias("features")))
+    some = points.limit(k).count()
+    if some < 2:
+        return points.select("id", F.lit(-1 if min_size > some else 0).alias("topic"))
+    model = KMeans(k=min(k, some), seed=seed, maxIter=20).fit(points)
     found = model.transform(points).select("id", F.col("prediction").alias("topic"))
     sizes = found.groupBy("topic").agg(F.count("*").alias("n"))
     return found.join(sizes, "topic").select("id", F.when(F.col("n") >= min_size, F.col("topic")).otherwise(F.lit(-1)).alias("topic"))

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as T
+from ..lineage import cut
+from .assemble import tied
 from .grams import Digests
 
 
-def fingerprint_of(text: str, digests: Digests) -> int:
+def fingerprint_of(text: str, digests: Digests) -> int | None:
     rows, times = digests.of(text)
     if not len(rows):
-        return 0
+        return None
     votes = np.zeros(64, np.float32)
     for at in range(0, len(rows), 4096):
         votes += times[at : at + 4096].astype(np.float32) @ np.unpackbits(rows[at : at + 4096, 8:], axis=1).astype(np.float32)
@@ -22,27 +24,33 @@ def fingerprint_of(text: str, digests: Digests) -> int:
 
 
 def fingerprints(df: DataFrame, id_column: str, text: Column, n: int = 5) -> DataFrame:
-    """(id, fp): 64 bits, each set if most n-grams (with repeats) have it set in the low half of their
-    MD5; 0 without n-grams. One pass over the texts, without a row for each n-gram."""
+    """(id, fp, short): 64 bits, each set if most n-grams (with repeats) have it set in the low half of their
+    MD5. Texts without n-grams have no fingerprint but stand in ``short``, unless they are empty. One pass over the
+    texts, without a row for each n-gram."""
 
     def each(batches):
         digests = Digests(n)
         for batch in batches:
-            fps = [None if t is None else fingerprint_of(t, digests) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            texts = batch.column(1).to_pylist()
+            fps = [None if t is None else fingerprint_of(t, digests) for t in texts]
+            short = [t if f is None and t else None for t, f in zip(texts, fps)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(short, pa.string())], ["id", "fp", "short"])
 
     narrow = df.select(F.col(id_column).cast("long").alias("id"), T.dedup_text(text).alias("text"))
-    return narrow.mapInArrow(each, "id long, fp long").where("fp is not null")
+    return narrow.mapInArrow(each, "id long, fp long, short string")
 
 
 def near_pairs(prints: DataFrame, distance: int = 3) -> DataFrame:
-    """(src, dst) with at most ``distance`` bits apart. Of distance + 1 blocks of bits one is equal in
-    such a pair, so that joining on blocks loses none; equal fingerprints are tied to the first."""
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("id"), F.collect_list("id").alias("all"))
-    copies = nodes.select(F.col("id").alias("src"), F.explode("all").alias("dst")).where("src <> dst")
+    """(src, dst, distance) with at most ``distance`` bits apart. Of distance + 1 blocks of bits one is equal in
+    such a pair, so that joining on blocks loses none. Equal fingerprints are tied to the first of them, texts too
+    short for a fingerprint only to equal ones; both at distance 0."""
+    prints = cut(prints)
+    nodes, copies = tied(prints, "fp")
+    _, equal = tied(prints, "short")
     cuts = [64 * i // (distance + 1) for i in range(distance + 2)]
     block = F.array(*[F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:])])
     keyed = nodes.select("id", "fp", F.posexplode(block).alias("at", "key"))
     a, b = (keyed.select(F.col("id").alias(x), F.col("fp").alias(f"{x}_fp"), "at", "key") for x in ("src", "dst"))
-    near = a.join(b, ["at", "key"]).where((F.col("src") < F.col("dst")) & (F.bit_count(F.col("src_fp").bitwiseXOR(F.col("dst_fp"))) <= distance))
-    return near.select("src", "dst").distinct().unionByName(copies)
+    apart = F.bit_count(F.col("src_fp").bitwiseXOR(F.col("dst_fp")))
+    near = a.join(b, ["at", "key"]).where("src < dst").select("src", "dst", apart.alias("distance")).where(F.col("distance") <= distance).distinct()
+    return near.unionByName(copies.unionByName(equal).withColumn("distance", F.lit(0)))

@@ -309,6 +309,12 @@ def minhash_pairs(spark, d):
     return comps.groupBy("comp").agg(F.count("*").alias("members"), F.sum("id").alias("ids"))
 
 
+@query(O.MINHASH_SIMILARITY)
+def minhash_similarity(spark, d):
+    """Pairs of documents with different signatures, and each document with the first of its signature."""
+    return _minhash_pairs(spark, d)
+
+
 @query(O.MINHASH_CLUSTERS)
 def minhash_clusters(spark, d):
     return connected_components(_minhash_pairs(spark, d)).select(F.col("id").alias("doc_id"), "comp")
@@ -334,6 +340,12 @@ def _simhash_pairs(spark, d) -> DataFrame:
     return simhash.near_pairs(simhash.fingerprints(documents(spark, d), "doc_id", F.col("text")))
 
 
+@query(O.SIMHASH_NEAR)
+def simhash_near(spark, d):
+    """Pairs of different fingerprints, and each document with the first of its fingerprint."""
+    return _simhash_pairs(spark, d)
+
+
 @query(O.SIMHASH_PAIRS)
 def simhash_pairs(spark, d):
     comps = connected_components(_simhash_pairs(spark, d))

@@ -179,6 +179,12 @@ def _survivors(edges: str, length: str, source: str, key: str, out: str) -> str:
 
 
 MINHASH_PAIRS = f"WITH RECURSIVE {_EDGES}, {_COMPONENTS} {_SIZES}"
+_NODE = "n AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY {}) AS node FROM {})"
+#: Pairs of rows with different signatures (fingerprints), of each the first; the others are tied to that.
+_ALL = ", ".join(f"s{i}" for i in range(128))
+MINHASH_SIMILARITY = f"""WITH {_EDGES}, {_NODE.format(_ALL, 's')}, m AS (SELECT a, b, x.node AS m, y.node AS o FROM e JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b)
+SELECT a AS src, b AS dst, ({_MATCHES}) / 128.0::DOUBLE AS similarity FROM m JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE (m = a AND o = b) OR (m = o AND m = a)
+UNION ALL SELECT min(x.doc_id) OVER (PARTITION BY t), doc_id, 1.0 FROM t x WHERE length(t) BETWEEN 1 AND 4 QUALIFY min(x.doc_id) OVER (PARTITION BY t) <> doc_id"""
 MINHASH_CLUSTERS = f"WITH RECURSIVE {_EDGES}, {_COMPONENTS} SELECT id AS doc_id, comp FROM k"
 MINHASH_DEDUP = _survivors(_EDGES, "length(text)", "documents", "doc_id", "doc_id")
 MINHASH_REMOVED = f"WITH RECURSIVE {_EDGES}, {_COMPONENTS}, {_best('length(text)', 'documents', 'doc_id')} SELECT id AS doc_id, kept_id FROM v WHERE id <> kept_id"
@@ -186,11 +192,17 @@ MINHASH_REMOVED = f"WITH RECURSIVE {_EDGES}, {_COMPONENTS}, {_best('length(text)
 _VOTES = ", ".join(f"sum(CASE WHEN (h >> {k}) & 1 = 1 THEN 1 ELSE -1 END) AS b{k}" for k in range(64))
 _PACKED = " + ".join(f"CASE WHEN b{k} > 0 THEN {1 << k}::UHUGEINT ELSE 0::UHUGEINT END" for k in range(64))
 _FP = f"""{_NORMAL}, {_grams(5, '')}, h AS (SELECT doc_id, {_hex('md5(g)', 17, 16)} AS h FROM g), s AS (SELECT doc_id, {_VOTES} FROM h GROUP BY doc_id),
-f AS MATERIALIZED (SELECT doc_id, coalesce({_PACKED}, 0::UHUGEINT) AS u FROM t LEFT JOIN s USING (doc_id)),
+f AS MATERIALIZED (SELECT doc_id, CASE WHEN b0 IS NOT NULL THEN {_PACKED} END AS u FROM t LEFT JOIN s USING (doc_id)),
 fp AS MATERIALIZED (SELECT doc_id, (CASE WHEN u >= {1 << 63}::UHUGEINT THEN u::HUGEINT - {1 << 64}::HUGEINT ELSE u::HUGEINT END)::BIGINT AS fp FROM f)"""
 SIMHASH_VALUE = f"WITH {_FP} SELECT doc_id, fp FROM fp"
-_SIM = f"{_FP}, e AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM fp x JOIN fp y ON x.doc_id < y.doc_id AND bit_count(xor(x.fp, y.fp)) <= 3)"
+#: Texts of less than five characters are tied to equal ones only.
+_SIM = f"""{_FP}, e AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM fp x JOIN fp y ON x.doc_id < y.doc_id AND bit_count(xor(x.fp, y.fp)) <= 3
+  UNION SELECT x.doc_id, y.doc_id FROM t x JOIN t y ON x.t = y.t AND length(x.t) BETWEEN 1 AND 4 AND x.doc_id < y.doc_id)"""
 SIMHASH_PAIRS = f"WITH RECURSIVE {_SIM}, {_COMPONENTS} {_SIZES}"
+SIMHASH_NEAR = f"""WITH {_FP}, {_NODE.format('fp', '(SELECT * FROM fp WHERE fp IS NOT NULL)')}, d AS (SELECT node, any_value(fp) AS fp FROM n JOIN fp USING (doc_id) GROUP BY node)
+SELECT x.node AS src, y.node AS dst, bit_count(xor(x.fp, y.fp))::INT AS distance FROM d x JOIN d y ON x.node < y.node AND bit_count(xor(x.fp, y.fp)) <= 3
+UNION ALL SELECT node, doc_id, 0 FROM n WHERE node <> doc_id
+UNION ALL SELECT min(doc_id) OVER (PARTITION BY t), doc_id, 0 FROM t WHERE length(t) BETWEEN 1 AND 4 QUALIFY min(doc_id) OVER (PARTITION BY t) <> doc_id"""
 SIMHASH_DEDUP = _survivors(_SIM, "length(text)", "documents", "doc_id", "doc_id")
 
 _COS = "list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[])"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuskit.operators.dedup import assemble, exact, lcs, minhash, semantic, simhash, tfidf
-from corpuskit.operators.dedup.registry import deduplicate
+from corpuskit.operators.dedup.registry import deduplicate, similar
 from corpuskit.operators.graph import connected_components
 
 FRANCE, GERMANY = "What is the capital of France?", "What is the capital of Germany?"
@@ -47,14 +47,18 @@ def test_minhash(spark):
 
 
 def test_simhash(spark):
-    fps = {r.id: r.fp & (1 << 64) - 1 for r in simhash.fingerprints(docs(spark, FRANCE, GERMANY, "hi"), "id", F.col("text")).collect()}
-    assert fps == {0: 0x865C9141425A2388, 1: 0x929190C5437AB343, 2: 0}
+    rows = simhash.fingerprints(docs(spark, FRANCE, GERMANY, "hi", ""), "id", F.col("text")).collect()
+    assert {r.id: r.fp and r.fp & (1 << 64) - 1 for r in rows} == {0: 0x865C9141425A2388, 1: 0x929190C5437AB343, 2: None, 3: None}
+    assert {r.id: r.short for r in rows} == {0: None, 1: None, 2: "hi", 3: None}
     rng = random.Random(3)
     base = [rng.getrandbits(63) for _ in range(50)]
     values = base + [b ^ sum(1 << k for k in rng.sample(range(63), rng.randrange(6))) for b in base]
-    prints = spark.createDataFrame(list(enumerate(values)), "id long, fp long")
-    got = {tuple(sorted(r)) for r in simhash.near_pairs(prints).collect()}
-    assert got == {(i, j) for i in range(100) for j in range(i + 1, 100) if (values[i] ^ values[j]).bit_count() <= 3}
+    prints = spark.createDataFrame([*((i, v, None) for i, v in enumerate(values)), (200, None, "hi"), (201, None, "ok"), (202, None, "hi")], "id long, fp long, short string")
+    found = simhash.near_pairs(prints).collect()
+    assert all(r.distance == (values[r.src] ^ values[r.dst]).bit_count() for r in found if r.src < 200)
+    got = {tuple(sorted((r.src, r.dst))) for r in found}
+    assert (200, 202) in got
+    assert got - {(200, 202)} == {(i, j) for i in range(100) for j in range(i + 1, 100) if (values[i] ^ values[j]).bit_count() <= 3}
 
 
 def test_lcs(spark):
@@ -66,6 +70,51 @@ def test_lcs(spark):
     assert got == {(0, 1): (30, 50), (0, 2): (30, 50)}
 
 
+def naive_common(a, b):
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        new = [0] * (len(b) + 1)
+        for j, y in enumerate(b):
+            if x == y:
+                new[j + 1] = row[j] + 1
+                best = max(best, new[j + 1])
+        row = new
+    return best
+
+
+def test_lcs_against_all_pairs(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 5)))
+    parts = [" ".join(word() for _ in range(rng.randrange(4, 60))) for _ in range(12)]
+    texts = [" ".join([*(word() for _ in range(rng.randrange(0, 30))), rng.choice(parts), *(word() for _ in range(rng.randrange(0, 30)))]) for _ in range(60)]
+    assert all(lcs.longest_common(a, b) == naive_common(a, b) for a in texts[:6] for b in texts[:20])
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if (n := naive_common(texts[i], texts[j])) >= 20 and n >= 0.5 * min(len(texts[i]), len(texts[j]))}
+    got = {(r.src, r.dst) for r in lcs.similar_pairs(docs(spark, *texts), "id", F.col("text")).collect()}
+    assert got == want and len(want) > 20
+
+
+def test_short_texts_are_no_duplicates(spark):
+    df = docs(spark, "hi", "ok", "no", "this is a sentence of ordinary length, is it not", "ok", "")
+    for method in ("minhash_lsh", "simhash"):
+        assert sorted(r.id for r in deduplicate(df, "id", F.col("text"), method=method).collect()) == [0, 1, 2, 3, 5]
+    assert similar("Hi ", "hi") and not similar("hi", "ok", "simhash") and not similar("", "")
+    assert similar(FRANCE, FRANCE.upper()) and not similar(FRANCE, GERMANY) and not similar(FRANCE, GERMANY, "simhash")
+    assert similar(FRANCE, GERMANY, "suffix_array") and not similar(FRANCE, "something else", "suffix_array")
+    with pytest.raises(ValueError):
+        similar("a", "b", "dbscan")
+
+
+def test_texts_as_vectors(spark):
+    df = docs(spark, FRANCE, "What IS the capital of France", "Tea and cups of all kinds, and where to buy them", "", "123")
+    v = {r.id: r.v for r in semantic.text_vectors(df, "id", F.col("text")).collect()}
+    assert set(v) == {0, 1, 2, 4} and all(abs(sum(x * x for x in w) - 1) < 1e-9 for w in v.values())
+    assert sorted(r.id for r in deduplicate(df, "id", F.col("text"), method="semantic").collect()) == [0, 2, 3, 4]
+    assert deduplicate(df, "id", F.col("text"), method="bertopic", topics=2).count() < 5
+    odd = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0])], "id long, v array<double>")
+    assert {(r.src, r.dst) for r in semantic.similar_pairs(odd, "id", F.col("v"), 0.5).collect()} == {(1, 2)}
+    assert semantic.topics(odd.limit(0), "id", "v", 3).count() == 0
+
+
 def test_cosine(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, [1.0, 1.0]), (5, None)]
     df = spark.createDataFrame(rows, "id long, v array<double>")
