@@ -31,7 +31,7 @@ from . import arrays as A
 from . import repeats as R
 
 THRESHOLD = 50
-BASE = 13
+BASE = 10
 GRAM = 26
 #: Ranks are dense within a bucket of pairs: rank = bucket * 2**40 + place in the bucket.
 BUCKETS = 4096

@@ -71,6 +71,24 @@ def test_short_windows(spark):
     assert P.offsets(3, 8) == [3, 2] and P.offsets(13, 50) == [13, 24]
 
 
+@pytest.mark.parametrize("base", [1, 3, 5])
+def test_ranks_by_doubling(spark, base):
+    """From single words on: equal ranks for equal passages, and for no others."""
+    docs = spark.createDataFrame(rows(), "doc_id long, text string")
+    words = defaultdict(list)
+    for i, text in rows():
+        words[i].append(re.findall(r"[^\t\n\x0b\f\r ]+", text))
+    by_rank, by_words = defaultdict(set), defaultdict(set)
+    for r in P.repeated_positions(docs.where("doc_id <> 41"), threshold=8, base=base, gram=4).collect():
+        by_rank[r.rank].add((r.doc_id, r.pos))
+    for i, texts in words.items():
+        for w in texts if i != 41 else []:
+            for p in range(len(w) - 7):
+                by_words[tuple(w[p : p + 8])].add((i, p))
+    assert sorted(map(sorted, by_rank.values())) == sorted(sorted(v) for v in by_words.values() if len(v) > 1)
+    assert P.offsets(1, 8) == [1, 2, 4] and P.offsets(P.BASE, P.THRESHOLD) == [10, 20, 10]
+
+
 def test_later(spark):
     text = " ".join(prose(9, 60))
     docs = spark.createDataFrame([(5, text), (3, text), (8, text)], "doc_id long, text string")
