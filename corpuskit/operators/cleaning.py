@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +27,9 @@ def stopword_ratio(words: Column, stopwords=T.STOPWORDS) -> Column:
     return F.when(F.size(words) > 0, F.size(stop) / F.size(words)).otherwise(F.lit(1.0))
 
 
-def few_stopwords(df: DataFrame, max_ratio: float = 0.5, min_words: int = 20, custom=()) -> DataFrame:
+def few_stopwords(df: DataFrame, max_ratio: float = 0.5, min_words: int = 20, custom=(), stopwords_of=T.STOPWORDS) -> DataFrame:
     words = M.all_words()
-    return df.where((F.size(words) < min_words) | (stopword_ratio(words, T.STOPWORDS | set(custom)) <= max_ratio))
+    return df.where((F.size(words) < min_words) | (stopword_ratio(words, frozenset(stopwords_of) | set(custom)) <= max_ratio))
 
 
 def in_languages(df: DataFrame, languages: list[str] | None = None, column: str = "lang") -> DataFrame:
@@ -34,14 +37,23 @@ def in_languages(df: DataFrame, languages: list[str] | None = None, column: str
     return df.where(F.col(column).isin(*languages)) if languages else df
 
 
-def url_filter(df: DataFrame) -> DataFrame:
-    """Passes all rows; the place for rules on addresses."""
-    return df
+Filter = Callable[[DataFrame], DataFrame]
+#: The places for rules on addresses and on paragraphs. Both pass all rows until a rule is registered.
+FILTERS: dict[str, Filter] = {"url": lambda df: df, "paragraph": lambda df: df}
+
 
+def register_filter(name: str, rule: Filter) -> None:
+    """Set the rule that stands for ``url`` or ``paragraph``, or add one of another name."""
+    FILTERS[name] = rule
 
-def paragraph_filter(df: DataFrame) -> DataFrame:
-    """Passes all rows; the place for rules on paragraphs."""
-    return df
+
+def load_stopwords(path: str) -> frozenset[str]:
+    """Words of a file, one a line, in lower case; the usual ones if it can't be read."""
+    try:
+        lines = Path(path).read_text(encoding="utf-8").splitlines()
+    except (OSError, UnicodeDecodeError):
+        return T.STOPWORDS
+    return frozenset(w for w in (x.strip().lower() for x in lines) if w)
 
 
 def digest(c: Column | None = None, algorithm: str = "md5") -> Column:
@@ -54,7 +66,8 @@ def digest(c: Column | None = None, algorithm: str = "md5") -> Column:
 def first_of(df: DataFrame, key: Column, order: str = "pos") -> DataFrame:
     """The first row by ``order`` of each key, with all its columns.
 
-    Only key and position are compared; equal positions are told apart by nothing, so positions should differ."""
+    Only key and position are compared; equal positions are told apart by nothing, so positions should differ.
+    Ranks are limited within partitions before rows are moved, so that copies of a key aren't gathered."""
     at = Window.partitionBy("__key").orderBy(order)
     return df.withColumn("__key", key).withColumn("__at", F.row_number().over(at)).where("__at = 1").drop("__key", "__at")
 
@@ -63,10 +76,16 @@ def exact_dedup(df: DataFrame, algorithm: str = "md5") -> DataFrame:
     return first_of(df, digest(algorithm=algorithm))
 
 
-def clean(df: DataFrame, max_length: int = 32768, stopwords: bool = True, dedup: bool = True, algorithm: str = "md5", min_length: int | None = None, **stop) -> DataFrame:
-    """All cleaning filters: validity, length, stopwords, then exact duplicates."""
-    out = df.transform(valid).transform(length_between, max_length, min_length)
+def clean(df: DataFrame, max_length: int = 32768, stopwords: bool = True, dedup: bool = True, algorithm: str = "md5", min_length: int | None = None, languages: list[str] | None = None, language: str = "lang", filters: Iterable[str] = ("url", "paragraph"), seen: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, **stop) -> DataFrame:
+    """All cleaning filters: validity, length, stopwords, languages, registered rules, then exact duplicates.
+
+    ``languages``: those that stay, by column ``language`` (None: all). ``filters``: rules that are on. ``seen`` is
+    called with what each step leaves and the step's name."""
+    out = seen(df.transform(valid).transform(length_between, max_length, min_length), "length")
     if stopwords:
-        out = out.transform(few_stopwords, **stop)
-    out = out.transform(in_languages).transform(url_filter).transform(paragraph_filter)
-    return out.transform(exact_dedup, algorithm) if dedup else out
+        out = seen(out.transform(few_stopwords, **stop), "stopwords")
+    if languages:
+        out = seen(out.transform(in_languages, languages, language), "language")
+    for name in filters:
+        out = seen(out.transform(FILTERS[name]), name)
+    return seen(out.transform(exact_dedup, algorithm), "exact_dedup") if dedup else out

@@ -81,22 +81,15 @@ def qa_pairs(df: DataFrame) -> DataFrame:
 
     Answers are joined as the messages with a line break each and a space between. Blank answers
     and pairs without question or answer are left out; n counts the pairs of a conversation from 0."""
-    pair = "struct<question:string,answers:array<string>>"
-    none = F.array().cast("array<string>")
-    start = F.struct(F.array().cast(f"array<{pair}>").alias("done"), F.lit(None).cast("string").alias("q"), none.alias("a"))
+    c = F.col("conversation")
+    asked = F.filter(F.sequence(F.lit(1), F.size(c)), lambda i: F.element_at(c, i)["role"] == "User")
 
-    def closed(s: Column) -> Column:
-        full = (F.coalesce(s["q"], F.lit("")) != "") & (F.size(s["a"]) > 0)
-        return F.when(full, F.array_append(s["done"], F.struct(s["q"].alias("question"), s["a"].alias("answers")))).otherwise(s["done"])
+    def pair(users: Column, u: Column, k: Column) -> Column:
+        after = F.coalesce(F.get(users, k + 1), F.size(c) + 1)
+        said = F.filter(F.slice(c, u + 1, after - u - 1), lambda m: (m["role"] == "Assistant") & (T.strip(m["content"]) != ""))
+        return F.struct(F.element_at(c, u)["content"].alias("question"), F.transform(said, lambda m: F.concat(m["content"], F.lit("\n"))).alias("answers"))
 
-    def step(s: Column, m: Column) -> Column:
-        answer = (m["role"] == "Assistant") & s["q"].isNotNull() & (T.strip(m["content"]) != "")
-        return (
-            F.when(m["role"] == "User", F.struct(closed(s).alias("done"), m["content"].alias("q"), none.alias("a")))
-            .when(answer, F.struct(s["done"].alias("done"), s["q"].alias("q"), F.array_append(s["a"], F.concat(m["content"], F.lit("\n"))).alias("a")))
-            .otherwise(s)
-        )
-
-    pairs = F.aggregate("conversation", start, step, closed)
+    pairs = F.when(F.size(c) > 0, T.bind(asked, lambda users: F.transform(users, lambda u, k: pair(users, u, k))))
+    pairs = F.filter(pairs, lambda p: (F.coalesce(p["question"], F.lit("")) != "") & (F.size(p["answers"]) > 0))
     rows = df.select("conversation_id", F.posexplode(pairs).alias("n", "p"))
     return rows.select("conversation_id", F.col("n").cast("long").alias("n"), F.col("p.question").alias("question"), F.array_join("p.answers", " ").alias("answer"))

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import unicode as U
-from ..operators import cleaning, messages, quality
+from ..operators import cleaning, messages, quality, quality_models
 from ..operators.dedup import assemble, exact, lcs, minhash, semantic, simhash, tfidf
 from ..operators.graph import connected_components
-from ..sources import shapes
+from ..sources import shapes, social
 from ..sources.tables import read_table
 from . import oracle as O
 
@@ -140,7 +140,9 @@ def first_500(spark, d):
 
 @query(O.SUMMARY_STATS)
 def summary_stats(spark, d):
-    return table(spark, d, "conversations").agg(F.countDistinct("conv_id").alias("conversations"), F.count("*").alias("messages"), F.countDistinct("role").alias("participants"), F.sum(F.length("text")).alias("characters"))
+    turns = table(spark, d, "conversations")
+    c = messages.from_turns(turns, normal_roles=False).withColumn("participants", F.array_distinct(F.transform("conversation", lambda m: m["role"]))).withColumn("source_file", F.lit(""))
+    return social.summary(c).crossJoin(turns.agg(F.sum(F.length("text")).alias("characters"))).withColumn("messages", F.col("messages").cast("long"))
 
 
 @query(O.REPRESENTATIVE_LONGEST)
@@ -200,22 +202,35 @@ def word_perplexity(spark, d):
     return quality.word_perplexity(docs, "doc_id", "text", quality.unigram_model(docs, "text")).select(F.col("id").alias("doc_id"), F.round("perplexity", 3).alias("perplexity"))
 
 
-@query()
+@query(O.LANGID_NB)
 def langid_nb(spark, d):
-    return quality_models().language_naive_bayes(documents(spark, d), "doc_id", "text", "lang")
+    """Fitted on all labelled rows."""
+    return quality_models.language_naive_bayes(documents(spark, d), "doc_id", "text", "lang", share=1.0)
+
+
+@query(O.PERPLEXITY_BY_LANGUAGE)
+def perplexity_by_language(spark, d):
+    docs = documents(spark, d).where("lang is not null")
+    found = quality_models.perplexities(docs, "doc_id", "text", "lang", quality_models.fit_perplexity(docs, "text", "lang"))
+    return found.select("doc_id", F.round("perplexity", 3).alias("perplexity"))
+
+
+@query(O.QUALITY_END_TO_END)
+def quality_end_to_end(spark, d):
+    """Languages, perplexity in the language that was found, score and filter, each by a model of the table."""
+    docs = documents(spark, d)
+    language = quality_models.fit_language(docs, "doc_id", "text", "lang", share=1.0)
+    words = quality_models.fit_perplexity(docs, "text", "lang")
+    kept = quality.assessed(docs, "doc_id", F.col("text"), language, words, threshold=0.6, targets=["en", "fr"])
+    m = F.col("quality_metrics")
+    return kept.select("doc_id", m["language"].alias("language"), F.round(m["lang_confidence"], 4).alias("confidence"), F.round(m["perplexity"], 2).alias("perplexity"), F.round(m["quality_score"], 4).alias("score"))
 
 
 @query()
 def quality_lr_trained(spark, d):
     f = quality.features(F.col("text"), F.lit(1.0), F.lit(0.0))
     rows = documents(spark, d).select("doc_id", *[c.alias(n) for n, c in f.items()]).join(table(spark, d, "labels"), "doc_id", "left")
-    return quality_models().trained_scores(rows, "doc_id", list(f), "quality")
-
-
-def quality_models():
-    from ..operators import quality_models as m
-
-    return m
+    return quality_models.trained_scores(rows, "doc_id", list(f), "quality")
 
 
 # Formatting
@@ -420,6 +435,16 @@ def generic_shapes(spark, d):
     return rows.select("conv_id", F.posexplode("c").alias("n", "m")).select("conv_id", F.col("n").cast("long").alias("n"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
 
 
+@query(O.PAIR_SHAPES)
+def pair_shapes(spark, d):
+    """Turns packed into items of the two shapes of questions and answers by turns, and read back."""
+    t = table(spark, d, "conversations").where("text <> '' and role <> ''")
+    asked = F.to_json(F.struct("text", F.lit("u").alias("user"), F.col("role").alias("answer")))
+    item = F.when(F.col("conv_id") % 2 == 0, asked).otherwise(F.to_json(F.struct(F.col("text").alias("prompt"), F.col("role").alias("assistant"))))
+    rows = t.select("conv_id", "turn", F.posexplode(shapes.conversation(F.try_parse_json(item))).alias("n", "m"))
+    return rows.select("conv_id", "turn", F.col("n").cast("long").alias("n"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
 @query()
 def stream_dedup(spark, d):
     """First event of each kind and user within an hour, from a stream of the table run to its end."""

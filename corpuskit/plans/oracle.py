@@ -90,6 +90,41 @@ WORD_PERPLEXITY = f"""WITH t AS (SELECT doc_id, unnest({_WORDS}) AS w FROM docum
 m AS (SELECT w, log10((n + 1) / (SELECT sum(n) + count(*) FROM n)) AS logp FROM n)
 SELECT doc_id, round(pow(10.0, -sum(logp) / count(*)), 3) AS perplexity FROM t JOIN m USING (w) GROUP BY doc_id"""
 
+
+
+def _by_language(docs: str, words: str) -> str:
+    """Bigram perplexities: ``words`` is (doc_id, lang, w) of the texts to score, ``docs`` of those to fit on."""
+    pairs = "SELECT doc_id, lang, p.b AS b, p.x AS x, count(*) AS n FROM (SELECT doc_id, lang, unnest(list_transform(range(1, len(w) + 1), lambda i: {{'b': CASE WHEN i = 1 THEN '<s>' ELSE w[i - 1] END, 'x': w[i]}})) AS p FROM {}) GROUP BY ALL"
+    return f"""fp AS MATERIALIZED ({pairs.format(docs)}), pb AS MATERIALIZED (SELECT lang, b, x, sum(n) AS n FROM fp GROUP BY ALL), pw AS (SELECT lang, x, sum(n) AS n FROM pb GROUP BY ALL),
+pt AS MATERIALIZED (SELECT lang, sum(n) + count(*) + 1 AS al FROM pw GROUP BY lang),
+m1 AS MATERIALIZED (SELECT lang, x, 0.4::DOUBLE * (n + 1) / al AS p FROM pw JOIN pt USING (lang)),
+pf AS MATERIALIZED (SELECT *, sum(n) OVER (PARTITION BY lang, b) AS of FROM pb),
+m2 AS MATERIALIZED (SELECT pf.lang, pf.b, pf.x, log10(0.6::DOUBLE * pf.n / pf.of + p) AS lp FROM pf JOIN m1 ON m1.lang = pf.lang AND m1.x = pf.x),
+sp AS MATERIALIZED ({pairs.format(words)}),
+pp AS (SELECT doc_id, pow(10.0, -sum(sp.n * coalesce(m2.lp, log10(m1.p), log10(0.4::DOUBLE / al))) / sum(sp.n)) AS ppl
+  FROM sp LEFT JOIN m2 ON m2.lang = sp.lang AND m2.b = sp.b AND m2.x = sp.x LEFT JOIN m1 ON m1.lang = sp.lang AND m1.x = sp.x LEFT JOIN pt ON pt.lang = sp.lang GROUP BY doc_id)"""
+
+
+def _languages() -> str:
+    """Naive Bayes on character n-grams, fitted on all labels."""
+    return f"""t AS (SELECT doc_id, text, lang, {collapsed('lower(text)')} AS t FROM documents),
+g AS MATERIALIZED (SELECT doc_id, g, count(*) AS n FROM (SELECT doc_id, substr(t, i::INT, 3) AS g FROM (SELECT doc_id, t, unnest(range(1, length(t) - 1)) AS i FROM t WHERE length(t) >= 3)) GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, g, sum(n) AS n FROM g JOIN t USING (doc_id) WHERE lang IS NOT NULL GROUP BY ALL), ct AS (SELECT lang, ln(1 / (sum(n) + (SELECT count(DISTINCT g) FROM c))) AS base FROM c GROUP BY lang),
+cs AS (SELECT doc_id, c.lang, sum(g.n * ln(c.n + 1)) AS s FROM g JOIN c USING (g) GROUP BY ALL),
+cz AS (SELECT z.doc_id, ct.lang, z.size * base + coalesce(s, 0) AS s FROM (SELECT doc_id, sum(n) AS size FROM g GROUP BY doc_id) z CROSS JOIN ct LEFT JOIN cs ON cs.doc_id = z.doc_id AND cs.lang = ct.lang),
+nb AS MATERIALIZED (SELECT doc_id, lang AS language, 1 / sum(exp(s - top)) OVER (PARTITION BY doc_id) AS confidence FROM (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM cz)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) = 1)"""
+
+
+LANGID_NB = f"WITH {_languages()} SELECT doc_id, language, round(confidence, 6) AS confidence FROM nb"
+PERPLEXITY_BY_LANGUAGE = f"WITH w AS (SELECT doc_id, lang, {_WORDS} AS w FROM documents WHERE lang IS NOT NULL), {_by_language('w', 'w')} SELECT doc_id, round(ppl, 3) AS perplexity FROM pp"
+QUALITY_END_TO_END = f"""WITH {_languages()}, w AS (SELECT doc_id, lang, {_WORDS} AS w FROM documents WHERE lang IS NOT NULL), v AS (SELECT doc_id, language AS lang, {_WORDS} AS w FROM documents JOIN nb USING (doc_id)), {_by_language('w', 'v')},
+d AS (SELECT doc_id, text, language, confidence, ppl, len(list_filter(string_split({collapsed('text')}, ' '), lambda w: w <> '')) AS nw,
+  CASE WHEN length(text) = 0 THEN 0.0 ELSE length(regexp_replace(text, '[\\p{{L}}\\p{{N}}{T.BLANK}]', '', 'g')) / length(text) END AS special FROM documents LEFT JOIN nb USING (doc_id) LEFT JOIN pp USING (doc_id)),
+e AS (SELECT *, CASE WHEN nw > 0 THEN length(text) / nw ELSE 0.0 END AS per FROM d),
+z AS (SELECT *, 1 / (1 + exp(-({WEIGHTS['f_lang']} * round(coalesce(confidence, 0.0), 6) + {WEIGHTS['f_ppl']} * least(1.0, coalesce(ppl, 'inf'::DOUBLE) / 1000) + {WEIGHTS['f_chars']} * least(5.0, per) / 5 + {WEIGHTS['f_words']} * least(15.0, per) / 15 + {WEIGHTS['f_special']} * special))) AS s FROM e)
+SELECT doc_id, language, round(confidence, 4) AS confidence, round(ppl, 2) AS perplexity, round(s, 4) AS score FROM z WHERE {stripped('text')} <> '' AND language IN ('en', 'fr') AND s >= 0.6"""
+
 # --- formatting
 
 
@@ -230,5 +265,7 @@ q AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.w * b.w) AS cosine
 TFIDF_PAIRS = f"WITH {_TFIDF} SELECT a AS src, b AS dst, round(cosine, 6) AS cosine FROM q"
 DBSCAN_DEDUP = _survivors(f"{_TFIDF}, e AS MATERIALIZED (SELECT a, b FROM q)", "length(text)", "documents", "doc_id", "doc_id").replace(", v AS (SELECT id", ", vv AS (SELECT id").replace("FROM v WHERE id", "FROM vv WHERE id")
 
+PAIR_SHAPES = """SELECT conv_id, turn, 0 AS n, 'User' AS role, text AS content FROM conversations WHERE text <> '' AND role <> ''
+UNION ALL SELECT conv_id, turn, 1, 'Assistant', role FROM conversations WHERE text <> '' AND role <> ''"""
 GENERIC_SHAPES = f"""WITH {TURNS} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n, CASE WHEN conv_id % 4 = 0 THEN was ELSE role END AS role, text AS content
 FROM c WHERE text <> '' AND conv_id % 4 <> 3"""

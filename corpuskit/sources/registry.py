@@ -18,7 +18,7 @@ def register(name: str, source: Source) -> None:
 
 
 register("generic", lambda spark, conf: shapes.standardise(files.read_generic(spark, conf["input_path"])))
-register("facebook", lambda spark, conf: social.transform_threads(social.read_threads(spark, conf["platform_data_path"]), conf.get("user_name"), conf.get("platform") or "facebook"))
+register("facebook", lambda spark, conf: social.transform_threads(social.read_threads(spark, conf["platform_data_path"]), conf.get("user_name"), conf.get("platform") or "facebook", bool(conf.get("owner_by_frequency"))))
 
 
 def source_of(conf: dict) -> Source:

@@ -57,11 +57,18 @@ def read_threads(spark: SparkSession, inbox: str) -> DataFrame:
     return parsed.where("t is not null").select("source_file", folder.alias("source_folder"), "t.*")
 
 
-def account_owner(participants: Column, user_name: str | None) -> Column:
-    """Whose export it is: the configured name, a name that contains it or is contained in it, the second
-    of two, otherwise the configured name or the first."""
+def most_frequent(threads: DataFrame) -> str | None:
+    """The name that takes part in most threads, the first by name among equals: in an export, most likely its owner's."""
+    names = threads.select(F.explode(F.array_distinct(F.transform("participants", lambda p: p["name"]))).alias("who")).where("who is not null")
+    first = names.groupBy("who").count().orderBy(F.desc("count"), "who").first()
+    return first.who if first else None
+
+
+def account_owner(participants: Column, user_name: str | None, usual: str | None = None) -> Column:
+    """Whose export it is: the configured name, a name that contains it or is contained in it, the ``usual`` name if
+    there is one, the second of two, otherwise the configured name or the first."""
     n = F.size(participants)
-    rest = F.when(n == 2, F.element_at(participants, 2)).when(n > 0, F.lit(user_name) if user_name else F.element_at(participants, 1)).otherwise("Unknown")
+    rest = F.lit(usual) if usual else F.when(n == 2, F.element_at(participants, 2)).when(n > 0, F.lit(user_name) if user_name else F.element_at(participants, 1)).otherwise("Unknown")
     if not user_name:
         return rest
     me = F.lit(user_name)
@@ -69,15 +76,17 @@ def account_owner(participants: Column, user_name: str | None) -> Column:
     return F.when(F.array_contains(participants, me), me).when(F.size(alike) > 0, F.element_at(alike, 1)).otherwise(rest)
 
 
-def transform_threads(threads: DataFrame, user_name: str | None, platform: str = "social") -> DataFrame:
-    """Conversations: messages by time (as they stood among equals), without empty ones; whoever has the
+def transform_threads(threads: DataFrame, user_name: str | None, platform: str = "social", by_frequency: bool = False) -> DataFrame:
+    """``by_frequency``: where the configured name doesn't help, the owner is who takes part in most threads.
+
+    Conversations: messages by time (as they stood among equals), without empty ones; whoever has the
     configured name is the Assistant. Times are those of the first and last message, also empty ones."""
     stamped = F.transform("messages", lambda m, i: F.struct(F.coalesce(m["timestamp_ms"], F.lit(0)).alias("ts"), i.alias("i"), F.coalesce(m["sender_name"], F.lit("Unknown")).alias("who"), m["content"].alias("content")))
     rows = threads.where("size(messages) > 0").withColumn("m", F.array_sort(stamped)).withColumn("names", F.transform("participants", lambda p: p["name"]))
     role = lambda m: F.when(m["who"] == F.lit(user_name), "Assistant").otherwise("User")
     said = F.filter("m", lambda m: F.coalesce(m["content"], F.lit("")) != "")
     out = rows.select(
-        "source_file", "source_folder", F.lit(platform).alias("platform"), F.col("thread_path").alias("conversation_id"), F.col("names").alias("participants"), account_owner(F.col("names"), user_name).alias("account_owner"),
+        "source_file", "source_folder", F.lit(platform).alias("platform"), F.col("thread_path").alias("conversation_id"), F.col("names").alias("participants"), account_owner(F.col("names"), user_name, most_frequent(threads) if by_frequency else None).alias("account_owner"),
         F.timestamp_millis(F.element_at("m", 1)["ts"]).alias("created_at"), F.timestamp_millis(F.element_at("m", -1)["ts"]).alias("last_message_at"),
         F.transform(said, lambda m: F.struct(role(m).alias("role"), m["content"].alias("content"), F.lit(None).cast("boolean").alias("do_train"))).cast(f"array<{MESSAGE}>").alias("conversation"),
     )
