@@ -32,8 +32,9 @@ from . import arrays as A
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-tokens whose merges a worker remembers.
-REMEMBERED = 400_000
-PIECE = 1 << 20
+REMEMBERED = 200_000
+#: Bytes of text worked on at once; the arrays for them take many times as much memory.
+PIECE = 1 << 18
 SPACE, LETTER, DIGIT, OTHER = range(4)
 _CLASSES: list[np.ndarray] = []
 
@@ -160,7 +161,7 @@ class Vocabulary:
         self.hash = PerfectHash(keys)
         self.key_at, self.id_at = np.zeros(len(ids), A.U64), np.zeros(len(ids), np.int64)
         self.key_at[self.hash.slot_of], self.id_at[self.hash.slot_of] = keys, ids
-        self.made: dict[bytes, np.ndarray] = {}
+        self.made: dict[bytes, bytes] = {}
         self.unknown, other = len(self.length), "\ufffd".encode()
         self.start, self.length = np.append(self.start, len(self.flat)), np.append(self.length, len(other))
         self.start[self.length == 0], self.length[self.length == 0] = len(self.flat), len(other)
@@ -227,12 +228,12 @@ class Vocabulary:
             piece = raw[s:e]
             got = made.get(piece)
             if got is None:
-                got = np.array(self.merge(piece), np.int32)
+                got = np.array(self.merge(piece), np.int32).tobytes()  # smaller than an array
                 if len(made) >= REMEMBERED:
                     made.clear()
                 made[piece] = got
             parts.append(got)
-        count[missed] = [len(p) for p in parts]
+        count[missed] = [len(p) // 4 for p in parts]
         first = np.cumsum(count) - count
         table = np.empty(int(count.sum()), np.int32)
         one = ids >= 0
@@ -240,7 +241,7 @@ class Vocabulary:
         if parts:
             inside = np.ones(len(table), bool)
             inside[first[one]] = False
-            table[inside] = np.concatenate(parts)
+            table[inside] = np.frombuffer(b"".join(parts), np.int32)
         size = count[which]
         ends = np.concatenate(([0], np.cumsum(size)))
         inner = np.arange(int(ends[-1])) - np.repeat(ends[:-1], size)
