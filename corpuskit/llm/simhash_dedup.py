@@ -4,22 +4,27 @@ A fingerprint has 128 bits: bit k is set if most distinct words of the text (let
 digits, lower case) have bit k set in their MD5. Two documents are near duplicates if their
 fingerprints differ in at most ``radius`` bits; a group is a connected component of that.
 
-Pairs are looked for among fingerprints that agree in all of ``bits`` chosen bits, for a number of
-choices. ``bits`` is log2 of the number of fingerprints, less 2, but 16 at least, so that a choice brings each of them a few
-random partners, whatever the size of the corpus; and there are as many choices as it takes to meet a pair at the
-full radius with probability ``recall``, nearer ones more surely: 55 choices of 16 bits up to 262,144 fingerprints,
-288 of 25 bits for 10**8, which then have 430 candidates each. Recall doesn't depend on the size. Beyond
-262,144 fingerprints random candidates grow as n ** 1.3, not as the square.
+All pairs are found. The bits are cut into parts (six to eight, by what costs least) and each part gets a radius
+so that a near pair differs by no more than that in one part at least: if it differed by more in every part, the
+differences would add up to more than ``radius``. For each part the rows are sorted by their bits there, and each row
+looks up all values within the part's radius of its own. Where a part says so little that this would cost more than comparing all
+rows, which a sample of rows tells beforehand, the rest is done by comparing all: slower, but the same pairs.
+
+Rows are dealt into blocks, every two of which meet in a task of their own: eight blocks, or as many as it takes to
+keep them at 524,288 rows or less. So up to 4 million fingerprints what is shuffled grows in proportion, beyond
+that with the square. CPU time grows with the square, though of the pairs of rows only some thousandths are looked at.
 
 For each fingerprint the Hamming distances to 128 reference fingerprints, the rows of a Hadamard matrix, are
 worked out once. By the triangle inequality a pair whose distances to any reference differ by more than ``radius``
 can't be near and is discarded; the survivors' own distance is then counted. References alone can't replace
-the choices: random fingerprints lie about equally far from any reference, so their distances don't
+the parts: random fingerprints lie about equally far from any reference, so their distances don't
 say where to look.
 
-Fingerprints of one corpus are not random, so some buckets are large. Buckets that hold over ``block`` rows
-are found by adding up what partitions count, and are cut into blocks, every two of which meet in a task of their
-own: no task holds more than a few blocks, and no pair is lost.
+With a ``recall`` below 1 pairs are looked for by sampling instead, among fingerprints that agree in all of some chosen
+bits, for a number of choices. That loses pairs and is only for those who ask for it. ``bits`` is log2 of the number of
+fingerprints, less 2, but 16 at least; there are as many choices as it takes to meet a pair at the full radius with
+probability ``recall``: for 0.985 55 choices of 16 bits up to 262,144 fingerprints, 288 of 25 bits for 10**8. Buckets that
+hold over ``block`` rows are found by adding up what partitions count, and are cut into blocks, every two of which meet.
 
 A text without words (or null) has no fingerprint and no duplicates. Rows with a null doc_id
 can't be named and are left out. Rows that share a doc_id count as one document. Columns other
@@ -30,6 +35,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +50,16 @@ from ..operators.lineage import cut
 from . import arrays as A
 
 RADIUS = 18
+#: Of sampled pairs at just the radius.
 RECALL = 0.985
-#: Rows of a bucket that are compared in one piece.
+#: Rows of a bucket of sampled pairs that are compared in one piece.
 BLOCK = 16384
+#: Blocks that all rows are dealt into, as far as they then have between so many rows.
+BLOCKS, LEAST, MOST = 8, 1 << 13, 1 << 19
+#: Pairs of rows that are compared as fast as one that was looked up.
+DENSE = 20
+#: Pairs compared at once.
+TILE = 1 << 18
 BITS = 128
 PIECE = 2 << 20
 #: Rows held at once while keys are made.
@@ -209,8 +224,179 @@ def hot_keys(prints: DataFrame, keys: Keys, block: int) -> tuple[np.ndarray, np.
     return np.array([k for k, _ in found], np.int64), np.array([c for _, c in found], np.int64)
 
 
-def near_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = RECALL, block: int = BLOCK, chosen: np.ndarray | None = None) -> DataFrame:
-    """(src, dst) for near pairs of distinct fingerprints (node, hi, lo)."""
+def parts(radius: int, many: int) -> list[tuple[int, int, int]]:
+    """(first bit, bits, radius) of each part: near pairs are within the radius of a part in one at least."""
+    least, more = divmod(radius + 1, many)
+    width, wider = divmod(BITS, many)
+    firsts = [i * width + min(i, wider) for i in range(many)]
+    return [(at, width + (i < wider), least - (i >= more)) for i, at in enumerate(firsts) if least - (i >= more) >= 0]
+
+
+def best_parts(a: int, b: int, radius: int) -> list[tuple[int, int, int]]:
+    """Parts for a rows against b rows: more values looked up in long parts, more pairs met in short ones."""
+
+    def cost(of: list[tuple[int, int, int]]) -> float:
+        return sum(2**w + sum(math.comb(w, k) for k in range(r + 1)) * a * (1 + 8 * b / 2**w) for _, w, r in of)
+
+    return min((parts(radius, many) for many in range(6, 33)), key=cost)
+
+
+@lru_cache(maxsize=8)
+def masks(width: int, radius: int) -> np.ndarray:
+    """All differences of ``width`` bits of which ``radius`` at most are set."""
+    return np.array([sum(1 << bit for bit in c) for k in range(radius + 1) for c in combinations(range(width), k)], np.int64)
+
+
+def _part_of(hi: np.ndarray, lo: np.ndarray, at: int, width: int) -> np.ndarray:
+    u = A.U64
+    if at >= 64:
+        x = lo << u(at - 64)
+    else:
+        x = (hi << u(at)) | (lo >> u(64 - at)) if at else hi
+    return (x >> u(64 - width)).astype(np.int64)
+
+
+class Rows:
+    """Fingerprints (hi, lo as unsigned) with their distances to the references."""
+
+    def __init__(self, hi: np.ndarray, lo: np.ndarray):
+        self.hi, self.lo = hi, lo
+        self.pivots = np.zeros((len(hi), BITS), np.int8)
+        for at in range(0, len(hi), STEP):
+            self.pivots[at : at + STEP] = pivot_distances(_bytes(hi[at : at + STEP], lo[at : at + STEP]))
+
+    def __len__(self) -> int:
+        return len(self.hi)
+
+    def by(self, at: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bits of a part in order, and the rows in that order."""
+        key = _part_of(self.hi, self.lo, at, width)
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+
+
+def _near(a: Rows, b: Rows, i: np.ndarray, j: np.ndarray, radius: int, before: list[tuple[int, int, int]], cascade: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs i, j that are near and not within the radius of a part before."""
+    for c in range(0, BITS, cascade):
+        ok = np.abs(a.pivots[i, c : c + cascade].astype(np.int16) - b.pivots[j, c : c + cascade]).max(axis=1, initial=0) <= radius
+        i, j = i[ok], j[ok]
+    x, y = a.hi[i] ^ b.hi[j], a.lo[i] ^ b.lo[j]
+    ok = np.bitwise_count(x) + np.bitwise_count(y) <= radius
+    for at, width, r in before:
+        ok &= np.bitwise_count(_part_of(x, y, at, width)) > r
+    return i[ok], j[ok]
+
+
+def _all_near(a: Rows, b: Rows, radius: int, before: list[tuple[int, int, int]], one: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As near_between, by comparing every two rows."""
+    wide = 4096
+    tall = max(1, TILE // 4 // min(wide, max(1, len(b))))
+    for top in range(0, len(a), tall):
+        hi, lo = a.hi[top : top + tall, None], a.lo[top : top + tall, None]
+        for left in range(top // wide * wide if one else 0, len(b), wide):
+            apart = np.bitwise_count(hi ^ b.hi[left : left + wide]) + np.bitwise_count(lo ^ b.lo[left : left + wide])
+            i, j = np.divmod(np.flatnonzero(apart <= radius), apart.shape[1])
+            i, j = i + top, j + left
+            if one:
+                i, j = i[i < j], j[i < j]
+            if len(i):
+                yield _near(a, b, i, j, radius, before)
+
+
+def near_between(a: Rows, b: Rows, radius: int, of: list[tuple[int, int, int]] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All near pairs of a row of a and a row of b, each once; of two rows of a if b is a."""
+    one = a is b
+    if of is None:
+        if len(a) * len(b) <= TILE:
+            yield from _all_near(a, b, radius, [], one)
+            return
+        of = best_parts(len(a), len(b), radius)
+    for c, (at, width, r) in enumerate(of):
+        key, order = a.by(at, width)
+        other, order_b = (key, order) if one else b.by(at, width)
+        hi_a, hi_b = a.hi[order], b.hi[order_b]
+        start = np.zeros((1 << width) + 1, np.int32)
+        np.cumsum(np.bincount(other, minlength=1 << width), out=start[1:])
+        tried = key[:: max(1, len(key) // 128)]
+        met = sum(int((start[(tried ^ m) + 1] - start[tried ^ m]).sum(dtype=np.int64)) for m in masks(width, r).tolist())
+        if met * DENSE > len(tried) * len(b):
+            yield from _all_near(a, b, radius, of[:c], one)
+            return
+        for m in masks(width, r).tolist():
+            theirs = key ^ m
+            first = start[theirs]
+            n = start[theirs + 1] - first
+            if one and m:
+                n[theirs < key] = 0  # found from the other side
+            row = np.flatnonzero(n)
+            if not len(row):
+                continue
+            n, first = n[row], first[row]
+            end = np.cumsum(n, dtype=np.int64)
+            for lo in range(0, int(end[-1]), TILE):
+                to = min(lo + TILE, int(end[-1]))
+                s = slice(int(np.searchsorted(end, lo, side="right")), int(np.searchsorted(end, to - 1, side="right")) + 1)
+                begin = end[s] - n[s]
+                times = np.minimum(end[s], to) - np.maximum(begin, lo)
+                i, j = np.repeat(row[s], times), np.arange(lo, to) - np.repeat(begin - first[s], times)
+                if one and not m:
+                    i, j = i[i < j], j[i < j]
+                half = np.flatnonzero(np.bitwise_count(hi_a[i] ^ hi_b[j]) <= radius)  # enough to drop most
+                i, j = _near(a, b, order[i[half]], order_b[j[half]], radius, of[:c])
+                if len(i):
+                    yield i, j
+
+
+def near_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = 1.0, block: int | None = None, chosen: np.ndarray | None = None) -> DataFrame:
+    """(src, dst) for all near pairs of distinct fingerprints (node, hi, lo), each once.
+
+    ``block``: rows of a block at most, about. Pairs are sampled if ``recall`` is below 1 or bits are ``chosen``."""
+    if recall < 1 or chosen is not None:
+        return sampled_pairs(prints, radius, recall if recall < 1 else RECALL, block or BLOCK, chosen)
+    n = prints.count()
+    many = max(1, math.ceil(n / (block or min(MOST, max(LEAST, math.ceil(n / BLOCKS))))))
+    tasks = many * (many + 1) // 2
+
+    def spread(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                node, hi, lo = (np.asarray(c) for c in batch.slice(at, STEP).columns)
+                mine = np.repeat((A.mix(node.view(A.U64)) % A.U64(many)).astype(np.int64), many)
+                row, other = np.repeat(np.arange(len(node)), many), np.tile(np.arange(many), len(node))
+                a, b = np.minimum(mine, other), np.maximum(mine, other)
+                side = np.where(a == b, 0, np.where(mine == a, 1, 2)).astype(np.int8)
+                yield pa.RecordBatch.from_arrays([A.longs(b * (b + 1) // 2 + a), pa.array(side), A.longs(node[row]), A.longs(hi[row]), A.longs(lo[row])], ["part", "side", "node", "hi", "lo"])
+
+    def found(held):
+        side, node, hi, lo = (np.concatenate([np.asarray(b.column(c)) for b in held]) for c in range(1, 5))
+        held.clear()
+        sides = [np.flatnonzero(side == 0)] * 2 if (side == 0).all() else [np.flatnonzero(side == k) for k in (1, 2)]
+        if len(sides[0]) and len(sides[1]):
+            a = Rows(hi[sides[0]].view(A.U64), lo[sides[0]].view(A.U64))
+            b = a if sides[0] is sides[1] else Rows(hi[sides[1]].view(A.U64), lo[sides[1]].view(A.U64))
+            for i, j in near_between(a, b, radius):
+                yield pa.RecordBatch.from_arrays([A.longs(node[sides[0][i]]), A.longs(node[sides[1][j]])], ["src", "dst"])
+
+    def pairs(batches):
+        held, now = [], None
+        for batch in batches:
+            part = np.asarray(batch.column(0))
+            ends = [*(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else []
+            for a, b in zip([0, *ends], ends):
+                if held and part[a] != now:
+                    yield from found(held)
+                now = part[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from found(held)
+
+    made = prints.select("node", "hi", "lo").mapInArrow(spread, "part long, side byte, node long, hi long, lo long")
+    wide = min(tasks, max(64, n * many >> 19))
+    return made.repartitionById(wide, F.col("part").cast("int")).sortWithinPartitions("part").mapInArrow(pairs, "src long, dst long")
+
+
+def sampled_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = RECALL, block: int = BLOCK, chosen: np.ndarray | None = None) -> DataFrame:
+    """As near_pairs, but pairs that agree in no choice of bits are lost."""
     keys = Keys(choices(prints.count(), radius, recall) if chosen is None else chosen)
     hot, blocks = hot_keys(prints, keys, block)
 
@@ -266,11 +452,11 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = RECALL,
     return made.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(pairs, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, recall: float = 1.0, block: int | None = None) -> DataFrame:
     """Documents in groups of two or more: (doc_id, group_id, group_size, kept).
 
     group_id is the smallest doc_id of the group; that document is kept. ``radius``: bits in which
-    near fingerprints may differ. ``recall``: of pairs at just that distance; ``block``: see near_pairs."""
+    near fingerprints may differ. ``recall``: 1, or less to sample pairs; ``block``: see near_pairs."""
     prints = cut(fingerprints(docs).distinct())
     # Documents of one fingerprint are one node, so that thousands of copies make no pairs.
     nodes = cut(prints.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")))

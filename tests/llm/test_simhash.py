@@ -50,6 +50,52 @@ def test_all_pairs(spark):
     assert len(small) == len(set(small)) and {(max(p), min(p)) for p in small} == got
 
 
+def flipped(a, rng, many):
+    """The same fingerprints with ``many`` bits of each turned."""
+    flips = np.zeros((len(a), 128), np.uint8)
+    for row in flips:
+        row[rng.choice(128, many, replace=False)] = 1
+    return a ^ np.packbits(flips, axis=1)
+
+
+def test_no_pair_at_the_radius_is_lost(spark):
+    """Pairs at the full radius, of which sampling loses some."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 256, (3000, 16), dtype=np.uint8)
+    fp = np.concatenate([a, flipped(a, rng, S.RADIUS), flipped(a, rng, S.RADIUS + 1)])
+    hi, lo = fp.view(">i8").astype(np.int64).T
+    nodes = spark.createDataFrame(list(zip(range(len(fp)), hi.tolist(), lo.tolist())), "node long, hi long, lo long")
+    want = {(i, i + 3000) for i in range(3000)}
+    for block in (None, 500):
+        got = [tuple(sorted(r)) for r in S.near_pairs(nodes, block=block).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    sampled = [tuple(sorted(r)) for r in S.near_pairs(nodes, recall=S.RECALL).collect()]
+    assert set(sampled) <= want and len(sampled) >= 0.98 * len(want)
+    cut = [tuple(sorted(r)) for r in S.near_pairs(nodes, chosen=S.choices(6000), block=2).collect()]
+    assert len(cut) == len(sampled) and set(cut) == set(sampled)
+
+
+def test_parts_meet_all_pairs():
+    """Any parts, and comparing all where rows are much alike, give what comparing all pairs gives."""
+    rng = np.random.default_rng(6)
+    centres = rng.integers(0, 256, (40, 16), dtype=np.uint8)
+    spread = np.concatenate([flipped(np.repeat(centres, 5, axis=0), rng, k) for k in (5, 9, 13)])
+    alike = spread.copy()
+    alike[:, 3:15] = 7  # only four bytes differ
+    assert all(sum(r + 1 for *_, r in S.parts(radius, many)) == radius + 1 for radius in (0, 3, 18, 40) for many in (6, 7, 32))
+    for fp in (spread, alike):
+        hi, lo = fp.view(">u8").astype(np.uint64).T.copy()
+        apart = np.bitwise_count(fp[:, None] ^ fp[None]).sum(axis=2)
+        for radius in (0, 3, S.RADIUS, 26):
+            rows, some = S.Rows(hi, lo), S.Rows(hi[:250], lo[:250])
+            for of in (None, S.parts(radius, 7), S.parts(radius, 8), S.parts(radius, 16)):
+                got = [p for i, j in S.near_between(rows, rows, radius, of) for p in zip(i.tolist(), j.tolist())]
+                got = [(max(p), min(p)) for p in got]
+                assert len(got) == len(set(got)) and set(got) == {(i, j) for i in range(600) for j in range(i) if apart[i, j] <= radius}
+                got = [p for i, j in S.near_between(some, rows, radius, of) for p in zip(i.tolist(), j.tolist())]
+                assert len(got) == len(set(got)) and set(got) == set(zip(*(x.tolist() for x in np.nonzero(apart[:250] <= radius))))
+
+
 def test_recall_and_growth():
     """At the full radius nearly all pairs are met; random candidates grow clearly below the square."""
     rng = np.random.default_rng(3)
