@@ -467,7 +467,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, recall: float = 1.0,
     return groups.join(sizes, "comp").select(F.col("id").alias("doc_id"), F.col("comp").alias("group_id"), "group_size", (F.col("id") == F.col("comp")).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS, recall: float = RECALL) -> DataFrame:
+def deduplicated(docs: DataFrame, radius: int = RADIUS, recall: float = 1.0) -> DataFrame:
     """The documents without those that aren't kept; rows with a null doc_id or no words stay."""
     gone = near_duplicates(docs, radius, recall).where("not kept").select(F.col("doc_id").alias("doc_id_gone"))
     return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id_gone"], "left_anti")

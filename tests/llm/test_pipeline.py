@@ -1,7 +1,12 @@
 """The pipeline's stages and what holds between them."""
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
-from corpuskit.llm import bpe
+from corpuskit.llm import bpe, simhash_dedup
+
+from .conftest import prose
 
 
 def test_stages(spark, tmp_path):
@@ -40,6 +45,21 @@ def test_stages_on_messy_and_empty(spark, messy, nothing, tmp_path):
         assert set(kept[3]) <= set(kept[2])
 
 
+def test_near_duplicates_that_share_no_choice(spark):
+    """Near copies that agree in no choice of bits, so that sampling keeps both."""
+    texts = []
+    for seed in (969, 2255, 2922, 3617, 6037, 6523, 6976, 8144):
+        words = prose(seed, 60)
+        texts += [" ".join(words), " ".join(words[:-6] + prose(seed + 10**6, 6))]
+    fp, _ = simhash_dedup.fingerprint_rows(pa.array(texts, pa.large_string()))
+    assert (np.bitwise_count(fp[::2] ^ fp[1::2]).sum(axis=1) <= simhash_dedup.RADIUS).all()
+    key = simhash_dedup.Keys(simhash_dedup.choices(len(texts))).of(fp)
+    assert not (key[::2] == key[1::2]).any()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, None).collect()) == list(range(0, len(texts), 2))
+
+
 def test_run_leaves_one_stage(spark):
     import pathlib
 
