@@ -269,6 +269,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, token_ids, round_trip): round_trip says that decoding the ids gave the text."""
     shared = shared_vocabulary(docs, vocabulary)
 
+    @A.lean
     def each(batches):
         v = shared.value
         for batch in batches:
@@ -294,6 +295,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, text) from (doc_id, token_ids)."""
     shared = shared_vocabulary(encoded, vocabulary)
 
+    @A.lean
     def each(batches):
         v = shared.value
         for batch in batches:

@@ -178,6 +178,7 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS, least: float = LEAST
     net = train(docs, train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
+    @A.lean
     def each(batches):
         net = shared.value
         for batch in batches:
@@ -199,6 +200,7 @@ def keep_identified(docs: DataFrame, train_rows: int = TRAIN_ROWS, least: float
     net = train(docs, train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
+    @A.lean
     def each(batches):
         net = shared.value
         for batch in batches:

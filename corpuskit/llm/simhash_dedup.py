@@ -135,6 +135,7 @@ def _bytes(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, hi, lo) of every document that has words."""
 
+    @A.lean
     def each(batches):
         for batch in batches:
             texts, ids = A.text_column(batch, "text"), batch.column(0)
@@ -207,6 +208,7 @@ def hot_keys(prints: DataFrame, keys: Keys, block: int) -> tuple[np.ndarray, np.
     many; keys of over two blocks can't escape that. There are at most rows / block of them for each choice."""
     least = max(2, block // max(1, prints.rdd.getNumPartitions()))
 
+    @A.lean
     def count(batches):
         fps = [_bytes(np.asarray(b.column(1)), np.asarray(b.column(2))) for b in batches if b.num_rows]
         if not fps:
@@ -357,6 +359,7 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = 1.0, blo
     many = max(1, math.ceil(n / (block or min(MOST, max(LEAST, math.ceil(n / BLOCKS))))))
     tasks = many * (many + 1) // 2
 
+    @A.lean
     def spread(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
@@ -377,6 +380,7 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = 1.0, blo
             for i, j in near_between(a, b, radius):
                 yield pa.RecordBatch.from_arrays([A.longs(node[sides[0][i]]), A.longs(node[sides[1][j]])], ["src", "dst"])
 
+    @A.lean
     def pairs(batches):
         held, now = [], None
         for batch in batches:
@@ -400,6 +404,7 @@ def sampled_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = RECAL
     keys = Keys(choices(prints.count(), radius, recall) if chosen is None else chosen)
     hot, blocks = hot_keys(prints, keys, block)
 
+    @A.lean
     def spread(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
@@ -424,6 +429,7 @@ def sampled_pairs(prints: DataFrame, radius: int = RADIUS, recall: float = RECAL
 
     names = ["key", "part", "side", "node", "hi", "lo"]
 
+    @A.lean
     def pairs(batches):
         held = None
         for batch in batches:

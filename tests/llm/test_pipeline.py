@@ -1,10 +1,16 @@
 """The pipeline's stages and what holds between them."""
 
+import ctypes
+import re
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 
 import corpus_pipeline
-from corpuskit.llm import bpe, simhash_dedup
+from corpuskit.llm import bpe, language_id, pii, simhash_dedup
 
 from .conftest import prose
 
@@ -60,6 +66,32 @@ def test_near_duplicates_that_share_no_choice(spark):
     assert sorted(r.doc_id for r in stage(spark, docs, None).collect()) == list(range(0, len(texts), 2))
 
 
+def _anonymous() -> float:
+    """MB of this process's own memory."""
+    return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    """A worker that has done its task keeps no freed memory; the stages share workers, so it would add up."""
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("another C library than glibc")
+    path, functions = "/root/testdata/sf0.1/documents.parquet", []
+    docs = spark.read.parquet(path)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: functions.append(f) or self)
+    for made in (language_id.keep_identified, simhash_dedup.fingerprints, pii.mask, bpe.encode):
+        made(docs)
+    assert len(functions) == 4
+    kept = []
+    for f, names in zip(functions, (docs.columns, ["doc_id", "text"], docs.columns, ["doc_id", "text"])):
+        # Nothing else holds the rows when the function ends.
+        assert sum(b.num_rows for b in f(iter(pq.read_table(path, columns=names).slice(0, 2000).combine_chunks().to_batches()))) > 1000
+        before = _anonymous()
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+        kept.append(before - _anonymous())
+    assert max(kept) < 30, kept
+
+
 def test_run_leaves_one_stage(spark):
     import pathlib
 
