@@ -93,6 +93,23 @@ def test_lcs_against_all_pairs(spark):
     assert got == want and len(want) > 20
 
 
+def test_lcs_looks_at_few_other_pairs(spark):
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcdefghijkl") for _ in range(11)) for _ in range(30)]  # common to many, but too short
+    texts = [" ".join(rng.choice(parts) + "".join(rng.choice("mnopqrst") for _ in range(rng.randrange(4, 9))) for _ in range(rng.randrange(2, 5))) for _ in range(300)]
+    texts += [t[: len(t) * 2 // 3] + "".join(rng.choice("uvwxyz") for _ in range(20)) for t in texts[:40]]
+    met = {tuple(r) for r in lcs.candidates(docs(spark, *texts).withColumnRenamed("text", "t")).collect()}
+    assert len(met) < 400
+    common = {(i, j): lcs.common_of(texts[i], texts[j], 20) for i in range(340) for j in range(i + 1, 340)}
+    assert all(n == naive_common(texts[i], texts[j]) for (i, j), n in common.items() if n)
+    want = {p for p, n in common.items() if n and n >= 0.5 * min(len(texts[x]) for x in p)}
+    assert want <= met and len(want) > 20
+    for a, b in [("ab" * 300, "ab" * 250 + "c"), ("abcde" * 4, "xbcdey"), ("", "a")]:
+        for need in (1, 4, 20, 501):
+            n = naive_common(a, b)
+            assert lcs.common_of(a, b, need) == (n if n >= need else 0)
+
+
 def test_short_texts_are_no_duplicates(spark):
     df = docs(spark, "hi", "ok", "no", "this is a sentence of ordinary length, is it not", "ok", "")
     for method in ("minhash_lsh", "simhash"):
