@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from ...functions import text as T
 from ..lineage import cut
+from .blocks import by_pairs, groups_of
 
 BLOCK = 1024
+#: Pairs whose products are made again at once.
+PAIRS = 1 << 14
+#: How far a product of unit vectors in single precision is off at most, for some thousands of dimensions.
+SINGLE = 1e-4
 #: Numbers in a vector that is made from a text.
 DIMENSIONS = 256
 
@@ -68,39 +73,40 @@ def text_vectors(df: DataFrame, id_column: str, text: Column, n: int = 3, dimens
     return rows.mapInArrow(each, "id long, v array<double>")
 
 
-def _blocks(df: DataFrame, id_column: str, vector: Column, rows: int) -> DataFrame:
-    """(block, ids, vectors): unit vectors packed by hash of their id. Zero vectors stay zero."""
-
-    def pack(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                ids = np.asarray(part.column(0)).astype(np.int64)
-                v = np.asarray(part.column(1).flatten()).astype(np.float64).reshape(len(ids), -1)
-                norm = np.linalg.norm(v, axis=1, keepdims=True)
-                v = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
-                yield pa.RecordBatch.from_arrays([pa.array([int(ids.min())]), pa.array([ids.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary())], ["block", "ids", "vectors"])
-
-    return usable(df, id_column, vector).mapInArrow(pack, "block long, ids binary, vectors binary")
-
-
-def similar_pairs(df: DataFrame, id_column: str, vector: Column, threshold: float = 0.8, rows: int = BLOCK) -> DataFrame:
-    """(src, dst, cosine) of all pairs, exactly, by products of blocks of vectors."""
-    blocks = _blocks(df, id_column, vector, rows)
-    a, b = (blocks.select(*[F.col(c).alias(f"{x}_{c}") for c in ("block", "ids", "vectors")]) for x in "ab")
-
-    def product(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                (m, n), (u, v) = ([np.frombuffer(batch.column(c)[i].as_py(), t) for c in at] for at, t in (((0, 2), np.int64), ((1, 3), np.float64)))
-                scores = u.reshape(len(m), -1) @ v.reshape(len(n), -1).T
-                x, y = np.nonzero(scores >= threshold - 1e-12)
-                ok = m[x] < n[y] if len(x) else np.zeros(0, bool)
-                # A pair of blocks comes in both orders, each pair of ids in one of them.
-                yield pa.RecordBatch.from_arrays([pa.array(m[x][ok]), pa.array(n[y][ok]), pa.array(scores[x, y][ok])], ["src", "dst", "cosine"])
-
-    pairs = a.crossJoin(b).repartition("a_block", "b_block").select("a_ids", "a_vectors", "b_ids", "b_vectors")
-    return pairs.mapInArrow(product, "src long, dst long, cosine double")
+def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors. Zero vectors stay zero."""
+    v = table.column("v").combine_chunks()
+    x = np.asarray(v.flatten()).astype(np.float64).reshape(table.num_rows, -1)
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.asarray(table.column("id")).astype(np.int64), np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+
+def similar_pairs(df: DataFrame, id_column: str, vector: Column, threshold: float = 0.8, rows: int = BLOCK, groups: int | None = None) -> DataFrame:
+    """(src, dst, cosine) of all pairs, exactly, by products of ``rows`` by ``rows`` vectors.
+
+    Products are made in single precision first; those that may reach the threshold are worked out in double."""
+
+    def work(first: pa.Table, others):
+        m, u = matrix(first)
+        u32 = u.astype(np.float32)
+        for other in others:
+            n, v = (m, u) if other is None else matrix(other)
+            v32 = u32 if other is None else v.astype(np.float32)
+            for i in range(0, len(m), rows):
+                for j in range(i if other is None else 0, len(n), rows):
+                    x, y = np.nonzero(u32[i : i + rows] @ v32[j : j + rows].T >= threshold - SINGLE)
+                    if other is None and i == j:
+                        x, y = x[x < y], y[x < y]
+                    for at in range(0, len(x), PAIRS):
+                        p, q = x[at : at + PAIRS] + i, y[at : at + PAIRS] + j
+                        scores = np.einsum("ij,ij->i", u[p], v[q])
+                        ok = (scores >= threshold - 1e-12) & (m[p] != n[q])
+                        p, q, scores = p[ok], q[ok], scores[ok]
+                        if len(p):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(m[p], n[q])), pa.array(np.maximum(m[p], n[q])), pa.array(scores)], ["src", "dst", "cosine"])
+
+    vectors = cut(usable(df, id_column, vector))
+    return by_pairs(vectors, groups or groups_of(vectors.count()), work, "src long, dst long, cosine double")
 
 
 def topics(df: DataFrame, id_column: str, vector: str, k: int, seed: int = 42, min_size: int = 2) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskit.operators.dedup import assemble, exact, lcs, minhash, semantic, simhash, tfidf
+from corpuskit.operators.dedup import assemble, blocks, exact, lcs, minhash, semantic, simhash, tfidf
 from corpuskit.operators.dedup.registry import deduplicate, similar
 from corpuskit.operators.graph import connected_components
 
@@ -139,6 +139,20 @@ def test_cosine(spark):
         assert {(r.src, r.dst, round(r.cosine, 3)) for r in semantic.similar_pairs(df, "id", F.col("v"), 0.7, block).collect()} == {(0, 1, 1.0), (0, 4, 0.707), (1, 4, 0.707), (2, 4, 0.707)}
 
 
+def test_cosine_by_groups(spark):
+    rng = random.Random(4)
+    v = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(120)]
+    v += [[x * 2 for x in w] for w in v[:5]]
+    unit = [[x / sum(y * y for y in w) ** 0.5 for x in w] for w in v]
+    want = {(i, j) for i in range(125) for j in range(i + 1, 125) if sum(x * y for x, y in zip(unit[i], unit[j])) >= 0.7}
+    df = spark.createDataFrame(list(enumerate(v)), "id long, v array<double>")
+    for groups, rows in ((1, 1024), (2, 16), (5, 7)):
+        got = [(r.src, r.dst) for r in semantic.similar_pairs(df, "id", F.col("v"), 0.7, rows, groups).collect()]
+        assert set(got) == want and len(got) == len(want) > 50
+    # What is moved is the rows times the groups.
+    assert [blocks.groups_of(n) for n in (0, 3, 10_000, 100_000, 500_000, 1_000_000)] == [1, 3, 8, 8, 8, 16]
+
+
 def test_tfidf_prefixes_lose_no_pair(spark):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(40)]
