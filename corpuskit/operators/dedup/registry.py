@@ -35,7 +35,7 @@ def _suffix_array(df: DataFrame, id_column: str, text: Column, min_length: int =
 
 
 def _dbscan(df: DataFrame, id_column: str, text: Column, eps: float = 0.2, min_samples: int = 2, max_features: int = 10_000, **_) -> DataFrame:
-    return tfidf.core_edges(tfidf.near_pairs(tfidf.vectors(df, id_column, text, max_features), eps), min_samples)
+    return tfidf.density_edges(tfidf.vectors(df, id_column, text, max_features), eps, min_samples)
 
 
 def _vectors(df: DataFrame, id_column: str, text: Column, embedding: str | None) -> DataFrame:

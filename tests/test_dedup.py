@@ -167,6 +167,23 @@ def test_tfidf_prefixes_lose_no_pair(spark):
     assert want and {(r.src, r.dst) for r in tfidf.near_pairs(w, 0.4).collect()} == want
 
 
+def test_tfidf_by_groups(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(10)) for _ in range(60)]
+    texts += [t + " " + rng.choice(words) for t in texts[:30]] + texts[:5] + ["", "only"]
+    w = tfidf.vectors(docs(spark, *texts), "id", F.col("text"))
+    pairs = {(r.src, r.dst) for r in tfidf.near_pairs(w).collect()}
+    assert len(pairs) > 20
+    clusters = {tuple(r) for r in connected_components(spark.createDataFrame(sorted(pairs), "src long, dst long")).collect()}
+    for groups in (1, 3):
+        assert {(r.src, r.dst) for r in tfidf.near_pairs(w, groups=groups).collect()} == pairs
+        edges = [(r.src, r.dst) for r in tfidf.near_pairs(w, forest=True, groups=groups).collect()]
+        assert {tuple(r) for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()} == clusters
+    # A hundred copies have 4,950 pairs, but a tree of 99 edges.
+    assert tfidf.near_pairs(tfidf.vectors(docs(spark, *["the same text again and again"] * 100), "id", F.col("text")), forest=True, groups=1).count() == 99
+
+
 def test_density(spark):
     pairs = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (5, 6)], "src long, dst long")
     assert {tuple(sorted(r)) for r in tfidf.core_edges(pairs, 3).collect()} == {(1, 2), (0, 1), (2, 3)}
