@@ -29,6 +29,20 @@ def test_seed_languages(spark):
     assert found == {1: "en", 2: "de", 3: "fr", 4: "zh"}
 
 
+def test_language_grams(spark, monkeypatch):
+    texts = ["abc abd", "ab", "", None, "日本語 日本", "a\U0001f600b\U0001f600b", "Zoë  zoe", "xyz", "abc"]
+    rows = spark.createDataFrame([(i, "pq"[i % 2], t) for i, t in enumerate(texts)] + [(0, "p", "qrst")], "id long, l string, t string")
+    model = quality_models.fit_language(rows, "id", "t", "l", share=1.0)
+    want = {}
+    for r in rows.selectExpr("l", "trim(regexp_replace(lower(t), ' +', ' ')) t").collect():
+        for k in range(len(r.t or "") - 2):
+            want[r.l, r.t[k : k + 3]] = want.get((r.l, r.t[k : k + 3]), 0) + 1
+    assert {(r.label, r.g): round(2.718281828459045**r.gain) - 1 for r in model.collect()} == want
+    sent = {tuple(r) for r in quality_models.languages(rows, "id", "t", model).collect()}
+    monkeypatch.setattr(quality_models, "SENT_GRAMS", 0)
+    assert sent == {tuple(r) for r in quality_models.languages(rows, "id", "t", model).collect()} and {r[0] for r in sent} == {0, 4, 5, 6, 7, 8}
+
+
 def test_perplexity(spark):
     rows = spark.createDataFrame([(1, "en", "a b a b a b"), (2, "en", "b a q"), (3, "xx", "a b"), (4, "en", "")], "id long, lang string, t string")
     model = quality_models.fit_perplexity(rows.where("id = 1"), "t", "lang")
