@@ -1,5 +1,7 @@
 """Text functions on small cases worked out by hand."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,14 @@ def test_unicode(spark):
 def test_ngrams(spark):
     assert run(spark, lambda c: T.char_ngrams(c, 3), "abcd", "ab", "", "a🎉b", None) == [["abc", "bcd"], [], [], ["a🎉b"], []]
     assert run(spark, T.special_ratio, "a!b?", "") == [0.5, 0.0]
+
+
+def test_emails_are_looked_for_by_their_sign(spark):
+    texts = ["a b@c.de f", "@", "x@y", "x@y.", "a@b@c.d, e", "none here", "", None, "日本@例え.テスト\u3000a@b.c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = [r[0] for r in df.orderBy("id").select(T.replace_emails(F.col("t"))).collect()]
+    assert got == ["a [EMAIL] f", "@", "x@y", "x@y.", "[EMAIL] e", "none here", "", None, "[EMAIL]\u3000[EMAIL]"]
+    long = spark.range(1).select(F.repeat(F.lit("abcdefghi "), 2_000_000).alias("t"))
+    began = time.time()
+    assert long.select(F.length(T.replace_emails(F.col("t")))).first()[0] == 20_000_000
+    assert time.time() - began < 10
