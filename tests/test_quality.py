@@ -53,6 +53,15 @@ def test_perplexity(spark):
     assert got[2] == pytest.approx((0.4 * 4 / 9 * p * 0.4 / 9) ** (-1 / 3))
 
 
+def test_pairs_of_words_are_counted_in_each_text(spark):
+    rows = spark.createDataFrame([("x", "en", ["a", "b", "a", "b"]), ("y", None, ["b"]), ("x", "en", []), ("z", "en", None), ("z", "xx", ["<s>", "a"])], "id string, lang string, w array<string>")
+    h = {r.w: r.h for r in spark.createDataFrame([(w,) for w in ("<s>", "a", "b", "en", "xx")], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    got = {(r.id, r.before, r.word): r.n for r in quality_models._counted_pairs(rows).collect()}
+    assert got == {("x", h["<s>"], h["a"]): 1, ("x", h["a"], h["b"]): 2, ("x", h["b"], h["a"]): 1, ("y", h["<s>"], h["b"]): 1, ("z", h["<s>"], h["<s>"]): 1, ("z", h["<s>"], h["a"]): 1}
+    pairs = [tuple(r) for r in quality_models._bigrams(rows.drop("id")).collect()]
+    assert sorted(pairs, key=str) == sorted([("en", "<s>", "a"), ("en", "a", "b"), ("en", "b", "a"), ("en", "a", "b"), (None, "<s>", "b"), ("xx", "<s>", "<s>"), ("xx", "<s>", "a")], key=str)
+
+
 def test_filter(spark):
     rows = spark.createDataFrame([(1, EN, "en", 0.9, 250.0), (2, EN, "de", 0.9, 250.0), (3, "  ", "en", 0.9, 1.0), (4, EN, "en", None, None), (5, EN, None, None, 1.0)], "id long, t string, l string, c double, p double")
     full = quality.quality_filter(rows, F.col("t"), F.col("l"), F.col("c"), F.col("p"), targets=["en"])
