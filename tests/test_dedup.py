@@ -1,11 +1,13 @@
 """Clusters, survivors and the methods that find pairs."""
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpuskit.operators.dedup import assemble, blocks, exact, lcs, minhash, semantic, simhash, tfidf
+from corpuskit.operators.dedup.grams import Digests
 from corpuskit.operators.dedup.registry import deduplicate, similar
 from corpuskit.operators.graph import connected_components
 
@@ -46,6 +48,23 @@ def test_minhash(spark):
     assert {tuple(r) for r in minhash.similar_pairs(s).collect()} == {(0, 1, 1.0), (3, 4, 1.0)}
 
 
+def test_digests_of_many_texts():
+    rng = random.Random(1)
+    for n in (1, 5, 13, 14):
+        texts = ["".join(rng.choice("abc é日\U0001f600") for _ in range(rng.randrange(60))) for _ in range(30)] + [None, ""]
+        digests = Digests(n)
+        for t, found in zip(texts, digests.of_all(texts), strict=True):
+            if t is None:
+                assert found is None
+                continue
+            want = {}
+            for k in range(len(t) - n + 1):
+                h = hashlib.md5(t[k : k + n].encode()).digest()
+                want[h] = want.get(h, 0) + 1
+            assert {r.tobytes(): int(c) for r, c in zip(*found)} == want
+        assert vars(digests) == {"n": n}  # nothing is kept
+
+
 def test_simhash(spark):
     rows = simhash.fingerprints(docs(spark, FRANCE, GERMANY, "hi", ""), "id", F.col("text")).collect()
     assert {r.id: r.fp and r.fp & (1 << 64) - 1 for r in rows} == {0: 0x865C9141425A2388, 1: 0x929190C5437AB343, 2: None, 3: None}
