@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskit.operators.dedup import assemble, blocks, exact, lcs, minhash, semantic, simhash, tfidf
+from corpuskit.operators.dedup import assemble, blocks, exact, grams, lcs, minhash, semantic, simhash, tfidf
 from corpuskit.operators.dedup.grams import Digests
 from corpuskit.operators.dedup.registry import deduplicate, similar
 from corpuskit.operators.graph import connected_components
@@ -65,6 +65,12 @@ def test_digests_of_many_texts():
         assert vars(digests) == {"n": n}  # nothing is kept
 
 
+def test_counts_of_ngrams(spark):
+    texts = ["aaaaaaa", "abcde", "abcd", "", None, "日本語日本語日本語", " A  b c\U0001f600d "]
+    got = {r.id: (r.n, r.n_distinct) for r in grams.counts(docs(spark, *texts), "id", F.col("text"), 5).collect()}
+    assert got == {0: (3, 1), 1: (1, 1), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (5, 3), 6: (3, 3)}
+
+
 def test_simhash(spark):
     rows = simhash.fingerprints(docs(spark, FRANCE, GERMANY, "hi", ""), "id", F.col("text")).collect()
     assert {r.id: r.fp and r.fp & (1 << 64) - 1 for r in rows} == {0: 0x865C9141425A2388, 1: 0x929190C5437AB343, 2: None, 3: None}
